@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, permutations
 
 from curul.functions.unicode_text import fold, is_missing
 
@@ -97,10 +97,10 @@ class Catalog:
 
     Meant for lists of a checked size: more than ``limit`` entries raise, since the list is sent to every worker.
     Alias paths of an entry: its halves around "y" exchanged, and the entry less one word where that still names
-    one entry only.
+    one entry only; with ``any_order`` also its words in any order.
     """
 
-    def __init__(self, entries: list[tuple[int, str]], numbered: bool = False, limit: int = 20_000, lead: bool = True, aliases: list[tuple[int, str]] = ()) -> None:  # type: ignore[assignment]
+    def __init__(self, entries: list[tuple[int, str]], numbered: bool = False, limit: int = 20_000, lead: bool = True, aliases: list[tuple[int, str]] = (), any_order: bool = False) -> None:  # type: ignore[assignment]
         if len(entries) > limit:
             raise ValueError(f"{len(entries)} entries; a broadcast list may have {limit}")
         self.numbered, self.lead = numbered, lead
@@ -121,6 +121,9 @@ class Catalog:
                 self.trie.add(turned, i)
                 weak += self._shorter(turned, i)
             weak += self._shorter(key, i)
+            if any_order and 1 < len(key.split()) <= 4:
+                for p in permutations(key.split()):
+                    self.trie.add(" ".join(p), i, 0.2 if " ".join(p) != key else 0.0)
         by: dict[str, set[int]] = {}
         for s, i, _ in weak:
             by.setdefault(s, set()).add(i)
@@ -135,13 +138,17 @@ class Catalog:
 
     def key(self, text: str) -> str:
         t = re.sub(r"[&/+]", " y ", fold(text))
+        t = re.sub(r",\s*a\.?\s*[pc]\.?\s*$", "", t)  # ", A.P." and the like
         if self.lead:
             t = re.sub(r"[^a-z0-9.: ]+", " ", t).strip()
             while (u := _LEAD.sub("", t, count=1).strip()) != t and u:
                 t = u
             t = re.sub(r"\b[yeo] c\. ", " y ", t)
         t = re.sub(r"[^a-z0-9 ]+", " ", t)
-        ws = [w for w in t.split() if w not in LINK_WORDS]
+        letters = t.split()
+        if len(letters) > 1 and all(len(w) == 1 for w in letters):
+            return "".join(letters)
+        ws = [w for w in letters if w not in LINK_WORDS]
         if self.lead:  # a misspelt "comision", wherever a turned name has it
             ws = [w for w in ws if len(w) < 6 or w[:2] not in ("co", "cm", "oc", "om", "ci") or w in self.words or levenshtein(w, "comision", 2) > 2] or ws
         return " ".join(ws)
@@ -190,7 +197,8 @@ class Catalog:
                 rest = rest[m.end():]
             text = rest
         best: dict[int, tuple[float, str]] = {}
-        for q in self._expand(text):
+        inner = re.sub(r"\([^()]*\)", " ", text)
+        for q in [*self._expand(text), *(self._expand(inner) if inner.strip() and inner != text else [])]:
             q = q.replace("  ", " ").strip()
             if len(q) < 3:
                 continue

@@ -124,11 +124,11 @@ def body_words(text: str, party_names: dict[str, str] | None = None) -> list[str
     t = re.sub(r"^(?:h|la|el)\b\.?\s+", "", t.strip())
     out = []
     for w, dot in ((m.group(1), bool(m.group(2))) for m in re.finditer(r"([a-z0-9]+)(\.?)", t)):
-        if party_names and w in party_names and not dot:
+        if party_names and w in party_names:
             out += body_words(party_names[w])
         elif w not in LINK_WORDS:
             w = CONTRACTIONS.get(w, w) if dot or w in ("jta", "ayto", "acdos") else w
-            out.append(SAME_WORD.get(w, w) + ("." if dot and len(w) <= 6 and w not in BODY_WORDS and w not in CONTRACTIONS.values() else ""))
+            out.append(SAME_WORD.get(w, w) + ("." if dot and len(w) <= 6 and w not in CONTRACTIONS.values() else ""))
     return out
 
 
@@ -142,6 +142,8 @@ def _word_cost(a: str, b: str) -> float:
             return 0.3
         return 1.0 if len(s) >= 3 and levenshtein(s, o[: len(s)], 1) <= 1 else 99.0
     d = levenshtein(a, b, 2)
+    if len(a) == len(b) >= 4 and sorted(a) == sorted(b):
+        return float(d) if d <= 2 else 99.0
     return float(d) if d <= (0 if min(len(a), len(b)) < 4 else 1 if min(len(a), len(b)) < 6 else 2) else 99.0
 
 

@@ -1,4 +1,4 @@
-"""Queries over the reference's own operators, each with its SQL."""
+"""Queries over the core's operators, each with its SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -6,5 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from curul.operators.imputation import mine_dependencies
+from curul.operators.initiatives import filled, filled_values, identified
+from curul.sources.tables import table
+
+
+def _identified(spark: SparkSession, d: str) -> DataFrame:
+    return identified(*[table(spark, d, t) for t in ("iniciativas_pa", "perfiles", "cat_comisiones", "cat_temas", "cat_partidos")])
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return filled_values(filled(_identified(spark, d)))
+
+
+def p2_filled(spark: SparkSession, d: str) -> DataFrame:
+    """Every record with its values, filled ones marked by their source."""
+    return filled(_identified(spark, d)).select("registro_id", "legislatura", "person", "comision_id", "partido_id", "partido_id_filled", "partido_source", "tema_id", "tema_id_filled", "tema_source")
+
+
+DETERMINANTS = [["presentador", "legislatura"], ["presentador"], ["c1"], ["c1", "c2"]]
+
+
+def p2_dependencies(spark: SparkSession, d: str) -> DataFrame:
+    """Which columns determine party and topic, over the values as typed."""
+    r = table(spark, d, "iniciativas_pa")
+    return mine_dependencies(r, DETERMINANTS, "partido", 0.5).unionByName(mine_dependencies(r, DETERMINANTS, "tema", 0.5))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_found, p2_filled, p2_dependencies)}
+
+
+def _dependency_sql(d: list[str], target: str) -> str:
+    k = ", ".join(d)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*d, target])
+    return f"""SELECT '{'+'.join(d)}' AS determinant, '{target}' AS target, coalesce(sum(total), 0)::BIGINT AS records, count(*) AS groups,
+        coalesce(sum(n), 0)::BIGINT AS agreeing, sum(n) / sum(total) AS confidence, coalesce(sum(n) / sum(total) >= 0.5, false) AS verified
+        FROM (SELECT {k}, sum(n) AS total, max(n) AS n FROM (SELECT {k}, {target}, count(*) AS n FROM iniciativas_pa WHERE {known} GROUP BY {k}, {target}) GROUP BY {k}) WHERE total >= 2"""
+
+
+ORACLE: dict[str, str] = {
+    "p2_dependencies": " UNION ALL ".join(_dependency_sql(d, t) for t in ("partido", "tema") for d in DETERMINANTS),
+}
