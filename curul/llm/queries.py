@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curul.llm.canonical_values import map_fields, read_catalog
+from curul.llm.name_variants import party_entities, presenter_entities, spelling_pairs, spellings_of
 from curul.llm.near_duplicates import near_duplicate_classes, near_duplicate_pairs
 from curul.llm.visual_text import canonical_text
 from curul.sources.tables import table
@@ -37,6 +38,25 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_mapped(spark, d).where(~F.col("how").isin("missing", "exact") & ~plain_number).select("registro_id", "campo", "ref_id")
 
 
+# Other names of having no party.
+PARTY_ALIASES = {"independiente": "IND", "independente": "IND", "indep": "IND", "candidatura independiente": "IND"}
+
+
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    """One row per spelling: the entity it names."""
+    records = table(spark, d, "iniciativas_pa").select("registro_id", "presentador", "partido")
+    parties = table(spark, d, "cat_partidos")
+    names = {r[0].lower(): r[1] for r in parties.select("siglas", "nombre").limit(2001).collect()}
+    who = presenter_entities(spellings_of(records, "registro_id", "presentador"), table(spark, d, "perfiles"), "nombre", names)
+    party = party_entities(spellings_of(records, "registro_id", "partido"), parties, "siglas", "nombre", PARTY_ALIASES)
+    return who.select(F.lit("presentador").alias("campo"), "*").unionByName(party.select(F.lit("partido").alias("campo"), "*")).withColumnRenamed("rep", "registro_id")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = spelling_pairs(p4_entities(spark, d).withColumnRenamed("registro_id", "rep"), "campo")
+    return pairs.withColumnsRenamed({"rep_a": "registro_id_a", "rep_b": "registro_id_b"})
+
+
 def p5_canonical(spark: SparkSession, d: str) -> DataFrame:
     a = canonical_text(table(spark, d, "iniciativas_pa").select(F.lit("iniciativas_pa").alias("tabla"), "registro_id", F.col("presentador").alias("texto")), "texto")
     b = canonical_text(table(spark, d, "actas_extraidas_ia").select(F.lit("actas_extraidas_ia").alias("tabla"), "registro_id", F.col("titulo").alias("texto")), "texto")
@@ -47,7 +67,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_canonical(spark, d).where("needed_change").select("tabla", "registro_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p3_mapped, p5_found, p5_canonical)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p3_mapped, p4_found, p4_entities, p5_found, p5_canonical)}
 
 _WORDS = "list_distinct(regexp_extract_all(strip_accents(lower(descripcion)), '[\\p{L}\\p{Nd}]+'))"
 ORACLE: dict[str, str] = {
