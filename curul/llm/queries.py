@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curul.llm.canonical_values import map_fields, read_catalog
+from curul.llm.mixing import mix, shares
 from curul.llm.name_variants import party_entities, presenter_entities, spelling_pairs, spellings_of
 from curul.llm.near_duplicates import near_duplicate_classes, near_duplicate_pairs
+from curul.llm.packing import pack, usage
+from curul.llm.tokens import token_count
 from curul.llm.visual_text import canonical_text
+from curul.plans.state import cut
 from curul.sources.tables import table
 
 
@@ -67,7 +71,44 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_canonical(spark, d).where("needed_change").select("tabla", "registro_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p3_mapped, p4_found, p4_entities, p5_found, p5_canonical)}
+def _capacities(spark: SparkSession, d: str) -> dict[int, int]:
+    rows = table(spark, d, "cupos").limit(101).collect()
+    if len(rows) > 100:
+        raise ValueError("over 100 capacities")
+    return {r["cupo_id"]: r["capacidad_tokens"] for r in sorted(rows)}
+
+
+def p6_packed(spark: SparkSession, d: str) -> DataFrame:
+    sized = table(spark, d, "documents").select("doc_id", token_count(F.col("text")).alias("tokens"))
+    return pack(sized, "doc_id", "tokens", _capacities(spark, d)).withColumnRenamed("id", "doc_id")
+
+
+def p6_usage(spark: SparkSession, d: str) -> DataFrame:
+    return usage(p6_packed(spark, d), _capacities(spark, d))
+
+
+# Spellings of languages in documents.
+LANGUAGES = {"es": "es", "spa": "es", "español": "es", "espanol": "es", "spanish": "es", "en": "en", "eng": "en", "english": "en", "ingles": "en", "inglés": "en"}
+
+
+def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Texts used, with their number of copies."""
+    rows = table(spark, d, "mezcla_objetivo").limit(10_001).collect()
+    if len(rows) > 10_000:
+        raise ValueError("over 10000 sources")
+    acts = table(spark, d, "actas_extraidas_ia").where("acta_id IS NOT NULL AND tema_1 IS NOT NULL").groupBy("acta_id", "tema_1").agg(F.count("*").alias("n"))
+    topic = acts.groupBy("acta_id").agg(F.min(F.struct(-F.col("n"), "tema_1"))["tema_1"].alias("topic"))
+    names = F.create_map(*[x for k, v in LANGUAGES.items() for x in (F.lit(k), F.lit(v))])
+    docs = table(spark, d, "documents").select("doc_id", "text", "source", names[F.lower(F.trim("lang"))].alias("language"), "acta_id", token_count(F.col("text")).alias("tokens"))
+    docs = docs.join(topic, "acta_id", "left")
+    return mix(docs, "doc_id", "text", "tokens", "source", {r["source"]: r["peso"] for r in rows}, {r["source"]: r["tope_repeticiones"] for r in rows}, "language", "topic").withColumnsRenamed({"id": "doc_id", "size": "tokens"})
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return shares(cut(p7_mixed(spark, d).withColumnRenamed("tokens", "size")), table(spark, d, "mezcla_objetivo"), "source", "peso")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p3_mapped, p4_found, p4_entities, p5_found, p5_canonical, p6_packed, p6_usage, p7_mixed, p7_shares)}
 
 _WORDS = "list_distinct(regexp_extract_all(strip_accents(lower(descripcion)), '[\\p{L}\\p{Nd}]+'))"
 ORACLE: dict[str, str] = {
