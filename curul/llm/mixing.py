@@ -2,8 +2,9 @@
 
 The corpus is counted into cells of source, language and topic, whose number doesn't grow with the corpus. The driver
 rakes the cells' token weights to the marginals; a cell's weight over its tokens is the number of times each of its
-texts should be used. The whole part is taken as it is; of the rest, a text is taken with that probability, by its
-place in the cell's hash order, so the share met is within one text of the target.
+texts should be used. The whole part is taken as it is; the rest is the probability of one more use. Texts are drawn
+by order sampling with these probabilities until their source's tokens are reached, so each source is within one text
+of its target.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from curul.plans.state import cut
 
-#: Hash ranges of a cell whose token sums are added up first, so no task reads a whole cell.
+#: Ranges of the sampling order whose token sums are added up first, so no task reads a whole source.
 RANGES = 512
 #: More cells than this raise instead of being collected.
 MOST_CELLS = 100_000
@@ -63,7 +64,7 @@ def mix(texts: DataFrame, id_col: str, text_col: str, size_col: str, source_col:
     if len(cells) > MOST_CELLS:
         raise ValueError(f"over {MOST_CELLS} cells of source, language and topic")
     spark = texts.sparkSession
-    schema = "source string, language string, topic string, whole int, aim double"
+    schema = "source string, language string, topic string, whole int, p double"
     plan = spark.createDataFrame([], schema)
     if len(cells):
         cells = cells.sort_values(["source", "language", "topic"]).reset_index(drop=True)
@@ -77,17 +78,22 @@ def mix(texts: DataFrame, id_col: str, text_col: str, size_col: str, source_col:
         scale = np.min(cap[need > 0] / need[need > 0])
         f = np.minimum(need * scale, cap)
         whole = np.floor(f + 1e-9)
-        aim = np.maximum(0.0, (f - whole) * cells.tokens.to_numpy(np.float64))
-        plan = spark.createDataFrame(list(zip(cells.source, cells.language, cells.topic, whole.astype(int).tolist(), aim.tolist())), schema)
+        p = np.where(f - whole > 1e-9, f - whole, 0.0)
+        plan = spark.createDataFrame(list(zip(cells.source, cells.language, cells.topic, whole.astype(int).tolist(), p.tolist())), schema)
     keys = ["source", "language", "topic"]
     # plan has at most MOST_CELLS rows of three short strings and two numbers
-    t = used.join(F.broadcast(plan), keys).withColumn("h", F.xxhash64(F.lit("mix"), "id")).withColumn("range", F.shiftrightunsigned("h", 64 - int(np.log2(RANGES))).cast("int"))
-    sums = t.groupBy(*keys, "range").agg(F.sum("size").alias("t"))
-    before = sums.withColumn("start", F.coalesce(F.sum("t").over(Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("t")
-    inside = F.sum("size").over(Window.partitionBy(*keys, "range").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = t.withColumn("inside", inside).join(before, [*keys, "range"])
+    t = used.join(F.broadcast(plan), keys)
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "id"), 11).cast("double") + 0.5) / 2.0**53
+    # order sampling: a text's number over its probability; its source takes the lowest until its tokens are reached
+    t = t.withColumn("x", F.when(F.col("p") > 0, u / F.col("p")).otherwise(F.lit(float("inf"))))
+    t = t.withColumn("range", F.least(F.lit(4 * RANGES), F.floor(F.col("x") * RANGES)).cast("int"))
+    aims = t.groupBy("source", "range").agg(F.sum("size").alias("t"), F.sum(F.col("p") * F.col("size")).alias("a"))
+    w = Window.partitionBy("source")
+    before = aims.select("source", "range", F.coalesce(F.sum("t").over(w.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("a").over(w).alias("aim"))
+    inside = F.sum("size").over(Window.partitionBy("source", "range").orderBy("x", "id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    placed = t.withColumn("inside", inside).join(before, ["source", "range"])
     # a text is taken when its middle lies within the tokens aimed at
-    extra = (F.col("start") + F.col("inside") + F.col("size") / 2 <= F.col("aim")).cast("int")
+    extra = ((F.col("p") > 0) & (F.col("start") + F.col("inside") + F.col("size") / 2 <= F.col("aim"))).cast("int")
     return placed.withColumn("copies", F.col("whole") + extra).where("copies > 0").select("id", *keys, "size", "copies")
 
 
