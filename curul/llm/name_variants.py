@@ -39,7 +39,7 @@ def radius_join(typed: DataFrame, stock: DataFrame, pivots: int = PIVOTS) -> Dat
     chosen = [r[0] for r in stock.orderBy(F.xxhash64("word"), "word").limit(pivots).collect()]
     if not chosen:
         return typed.select("word", F.col("word").alias("near"), F.lit(0).alias("distance")).limit(0)
-    to_all = F.array(*[F.struct(F.levenshtein("word", F.lit(p)).alias("d"), F.lit(k).alias("cell")) for k, p in enumerate(chosen)])
+    to_all = F.transform(F.array(*[F.lit(p) for p in chosen]), lambda p, k: F.struct(F.levenshtein(F.col("word"), p).alias("d"), k.alias("cell")))
     home = cut(stock.select("word", F.array_min(to_all).alias("h")).select(F.col("word").alias("near"), "h.cell", F.col("h.d").alias("dp")))
     reach = {r[0]: r[1] for r in home.groupBy("cell").agg(F.max("dp")).collect()}  # one row a pivot
     far = F.element_at(F.create_map(*[x for k, v in reach.items() for x in (F.lit(k), F.lit(v))]), F.col("c.cell"))
@@ -53,8 +53,9 @@ def spellings_of(records: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return records.where(F.col(text_col).isNotNull()).groupBy(F.col(text_col).alias("spelling")).agg(F.min(id_col).alias("rep"))
 
 
-def _body_entities(bodies: DataFrame, party_names: dict[str, str]) -> DataFrame:
-    """(rep, entity): entity is the smallest rep of the spellings that name the same body. bodies: (rep, spelling)."""
+def body_entities(spelled: DataFrame, party_names: dict[str, str]) -> DataFrame:
+    """(field, rep, entity) of spellings (field, rep, spelling) of bodies or parties: entity is the same for all spellings
+    of a field that name the same one. Spellings of different fields are never linked."""
 
     @F.pandas_udf("struct<words array<string>, acronym string, acronyms array<string>>")
     def parse(texts: pd.Series) -> pd.DataFrame:
@@ -66,31 +67,32 @@ def _body_entities(bodies: DataFrame, party_names: dict[str, str]) -> DataFrame:
             out.append(([] if a else w, a, acronym_keys(w) if not a else [a]))
         return pd.DataFrame(out, columns=["words", "acronym", "acronyms"])
 
-    parsed = cut(bodies.withColumn("p", parse("spelling")).select("rep", "spelling", "p.*"))
-    word = parsed.select("rep", F.explode("words").alias("word"))
-    plain = word.where(~F.col("word").endswith("."))
+    parsed = spelled.withColumn("p", parse("spelling")).select("field", "rep", F.concat_ws("|", "field", "rep").alias("node"), "p.*")
+    parsed = cut(parsed)
+    plain = parsed.select("node", "field", F.explode("words").alias("word")).where(~F.col("word").endswith("."))
     support = plain.groupBy("word").agg(F.count("*").alias("n"))
-    near = radius_join(plain.select("word").distinct(), plain.select("word").distinct())
+    near = radius_join(support.select("word"), support.select("word"))
     # a misspelt word is led to the word near it that most spellings have
-    led = near.join(support.select(F.col("word").alias("near"), "n"), "near").groupBy("word").agg(F.min(F.struct(-F.col("n"), "distance", "near")).alias("b")).select("word", F.col("b.near").alias("key"))
+    led = near.join(support.select(F.col("word").alias("near"), "n"), "near").groupBy("word").agg(F.min(F.struct(-F.col("n"), "distance", "near"))["near"].alias("key"))
     # Words that head many bodies don't tell one from another; they propose nothing where a body has other words.
     common = ["grupo", "parlamentario", "ayuntamiento", "comision", "consejo", "colegio", "universidad", "tribunal", "junta", "mesa", "estatal", "partido", "h", "titular", "poder"]
-    keys = plain.join(led, "word").select("rep", "key")
-    telling = keys.where(~F.col("key").isin(common))
-    bare = keys.join(telling.select("rep").distinct(), "rep", "left_anti")
-    block = telling.unionByName(bare).unionByName(parsed.select("rep", F.explode(F.transform("acronyms", lambda x: F.concat(F.lit("#"), x))).alias("key"))).distinct()
-    pair = block.join(block.select(F.col("rep").alias("other"), "key"), "key").where("rep < other").select("rep", "other").distinct()
-    side = parsed.select(F.col("rep").alias("other"), F.col("words").alias("words_o"), F.col("acronym").alias("acronym_o"), F.col("acronyms").alias("acronyms_o"))
+    keys = plain.join(led, "word").groupBy("node", "field").agg(F.collect_set("key").alias("keys"))
+    telling = F.filter("keys", lambda k: ~k.isin(common))
+    keys = keys.select("node", "field", F.explode(F.when(F.size(telling) > 0, telling).otherwise(F.col("keys"))).alias("key"))
+    letters = parsed.select("node", "field", F.explode(F.transform("acronyms", lambda x: F.concat(F.lit("#"), x))).alias("key"))
+    block = keys.unionByName(letters)
+    pair = block.join(block.withColumnRenamed("node", "other"), ["field", "key"]).where("node < other").select("node", "other").distinct()
+    side = parsed.select(F.col("node").alias("other"), F.col("words").alias("words_o"), F.col("acronym").alias("acronym_o"), F.col("acronyms").alias("acronyms_o"))
 
     @F.pandas_udf("boolean")
     def same(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([same_body(list(x), list(y)) for x, y in zip(a, b)], dtype=bool)
 
-    p = pair.join(parsed, "rep").join(side, "other")
-    by_letters = (F.col("acronym").isNotNull() & F.array_contains("acronyms_o", F.col("acronym"))) | (F.col("acronym_o").isNotNull() & F.array_contains("acronyms", F.col("acronym_o")))
-    links = p.withColumn("same", same("words", "words_o")).where(F.coalesce(by_letters, F.lit(False)) | F.col("same")).select("rep", "other")
-    comp = connected_components(links, "rep", "other")
-    return parsed.select("rep").join(comp, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("component", "rep").alias("entity"))
+    p = pair.join(parsed, "node").join(side, "other")
+    by_letters = F.coalesce(F.array_contains("acronyms_o", F.col("acronym")), F.lit(False)) | F.coalesce(F.array_contains("acronyms", F.col("acronym_o")), F.lit(False))
+    links = p.withColumn("same", same("words", "words_o")).where(by_letters | F.col("same")).select("node", "other")
+    comp = connected_components(links, "node", "other")
+    return parsed.join(comp, "node", "left").select("field", "rep", F.coalesce("component", "node").alias("entity"))
 
 
 def _missing(spelled: DataFrame) -> DataFrame:
@@ -101,36 +103,36 @@ def _missing(spelled: DataFrame) -> DataFrame:
     return spelled.withColumn("missing", missing("spelling")).where("NOT missing").drop("missing")
 
 
-def presenter_entities(spelled: DataFrame, roster: DataFrame, roster_col: str, party_names: dict[str, str]) -> DataFrame:
-    """(rep, spelling, kind, entity) of presenter spellings (rep, spelling); missing values are left out.
-
-    Persons are resolved to the roster of official names; those that meet none stand for their own words. Bodies are
-    linked among themselves. ``party_names`` maps folded short names of parties to their names (a list of fixed size).
-    """
-    parsed = cut(parse_spellings(spelled, "spelling"))
-    persons = parsed.where("kind = 'person'").select("spelling", "words")
-    official = roster_names(roster, roster_col)
+def person_entities(persons: DataFrame, roster: DataFrame, roster_col: str) -> DataFrame:
+    """(spelling, person) of parsed persons (spelling, words): resolved to the roster of official names by the words
+    within their radius; those that meet no official name stand for their own words."""
+    official = cut(roster_names(roster, roster_col))
     near = radius_join(persons.select(F.explode("words").alias("word")).distinct(), official.select(F.explode("official").alias("word")).distinct())
-    people = resolve_persons(persons, near.select("word", "near"), official)
-    a = parsed.join(people, "spelling").select("rep", "spelling", "kind", F.col("person").alias("entity"))
-    bodies = parsed.where("kind = 'body'").select("rep", "spelling")
-    b = bodies.join(_body_entities(bodies, party_names), "rep").select("rep", "spelling", F.lit("body").alias("kind"), F.concat(F.lit("#"), "entity").alias("entity"))
-    return a.unionByName(b)
+    return resolve_persons(persons, near.select("word", "near"), official)
 
 
-def party_entities(spelled: DataFrame, reference: DataFrame, short_col: str, name_col: str, aliases: dict[str, str]) -> DataFrame:
-    """(rep, spelling, kind, entity) of party spellings; the reference list (fixed, checked) adds its names as further
-    spellings, short names and ``aliases`` (folded text to short name) stand for the names."""
-    rows = reference.select(short_col, name_col).where(F.col(short_col).isNotNull()).limit(2001).collect()
+def variant_entities(records: DataFrame, id_col: str, presenter_col: str, party_col: str, roster: DataFrame, roster_col: str, parties: DataFrame, short_col: str, name_col: str, aliases: dict[str, str]) -> DataFrame:
+    """(field, rep, spelling, kind, entity): what each spelling of presenters and parties names.
+
+    Persons are resolved to the roster; bodies and parties are linked among the spellings of their field. The list of
+    parties (of a checked size) adds its names as spellings; short names and ``aliases`` (folded text to short name)
+    stand for the names. Missing values are no spellings. A parliamentary group is a body, apart from its party.
+    """
+    rows = parties.select(short_col, name_col).where(F.col(short_col).isNotNull() & F.col(name_col).isNotNull()).limit(2001).collect()
     if len(rows) > 2000:
         raise ValueError("over 2000 parties in the reference list")
     names = {r[0].lower(): r[1] for r in rows}
     names |= {k: names[v.lower()] for k, v in aliases.items() if v.lower() in names}
-    kept = _missing(spelled)
-    rep_type = spelled.schema["rep"].dataType
-    extra = spelled.sparkSession.createDataFrame([(-1 - k, r[1]) for k, r in enumerate(sorted(rows))], "rep bigint, spelling string").select(F.col("rep").cast(rep_type).alias("rep"), "spelling")
-    ent = _body_entities(kept.select("rep", "spelling").unionByName(extra), names)
-    return kept.join(ent, "rep").select("rep", "spelling", F.lit("party").alias("kind"), F.concat(F.lit("#"), "entity").alias("entity"))
+    who = parse_spellings(spellings_of(records, id_col, presenter_col), "spelling")
+    what = _missing(spellings_of(records, id_col, party_col))
+    one = cut(who.where("kind <> 'missing'").select(F.lit(presenter_col).alias("field"), "rep", "spelling", "kind", "words").unionByName(what.select(F.lit(party_col).alias("field"), "rep", "spelling", F.lit("party").alias("kind"), F.array().cast("array<string>").alias("words"))))
+    people = person_entities(one.where("kind = 'person'").select("spelling", "words"), roster, roster_col)
+    persons = one.where("kind = 'person'").join(people, "spelling").select("field", "rep", "spelling", "kind", F.col("person").alias("entity"))
+    rep_type = one.schema["rep"].dataType
+    extra = records.sparkSession.createDataFrame([(-1 - k, r[1]) for k, r in enumerate(sorted(rows))], "rep bigint, spelling string").select(F.lit(party_col).alias("field"), F.col("rep").cast(rep_type).alias("rep"), "spelling")
+    rest = one.where("kind <> 'person'")
+    linked = body_entities(rest.select("field", "rep", "spelling").unionByName(extra), names)
+    return persons.unionByName(rest.join(linked, ["field", "rep"]).select("field", "rep", "spelling", "kind", F.concat(F.lit("#"), "entity").alias("entity")))
 
 
 def spelling_pairs(entities: DataFrame, field: str = "field") -> DataFrame:

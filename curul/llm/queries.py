@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curul.llm.canonical_values import map_fields, read_catalog
 from curul.llm.mixing import mix, shares
-from curul.llm.name_variants import party_entities, presenter_entities, spelling_pairs, spellings_of
+from curul.llm.name_variants import spelling_pairs, variant_entities
 from curul.llm.near_duplicates import near_duplicate_classes, near_duplicate_pairs
 from curul.llm.packing import pack, usage
 from curul.llm.tokens import token_count
@@ -48,12 +48,8 @@ PARTY_ALIASES = {"independiente": "IND", "independente": "IND", "indep": "IND",
 
 def p4_entities(spark: SparkSession, d: str) -> DataFrame:
     """One row per spelling: the entity it names."""
-    records = table(spark, d, "iniciativas_pa").select("registro_id", "presentador", "partido")
-    parties = table(spark, d, "cat_partidos")
-    names = {r[0].lower(): r[1] for r in parties.select("siglas", "nombre").limit(2001).collect()}
-    who = presenter_entities(spellings_of(records, "registro_id", "presentador"), table(spark, d, "perfiles"), "nombre", names)
-    party = party_entities(spellings_of(records, "registro_id", "partido"), parties, "siglas", "nombre", PARTY_ALIASES)
-    return who.select(F.lit("presentador").alias("campo"), "*").unionByName(party.select(F.lit("partido").alias("campo"), "*")).withColumnRenamed("rep", "registro_id")
+    e = variant_entities(table(spark, d, "iniciativas_pa"), "registro_id", "presentador", "partido", table(spark, d, "perfiles"), "nombre", table(spark, d, "cat_partidos"), "siglas", "nombre", PARTY_ALIASES)
+    return e.withColumnsRenamed({"field": "campo", "rep": "registro_id"})
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
