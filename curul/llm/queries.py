@@ -12,6 +12,7 @@ from curul.llm.mixing import mix, shares
 from curul.llm.name_variants import spelling_pairs, variant_entities
 from curul.llm.near_duplicates import near_duplicate_classes, near_duplicate_pairs
 from curul.llm.packing import pack, usage
+from curul.llm.personal_info import find_personal, redact
 from curul.llm.tokens import token_count
 from curul.llm.visual_text import canonical_text
 from curul.plans.state import cut
@@ -104,7 +105,15 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(cut(p7_mixed(spark, d).withColumnRenamed("tokens", "size")), table(spark, d, "mezcla_objetivo"), "source", "peso")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p3_mapped, p4_found, p4_entities, p5_found, p5_canonical, p6_packed, p6_usage, p7_mixed, p7_shares)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_personal(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return redact(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id", "redacted")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_classes, p3_found, p3_mapped, p4_found, p4_entities, p5_found, p5_canonical, p6_packed, p6_usage, p7_mixed, p7_shares, p8_found, p8_redacted)}
 
 _WORDS = "list_distinct(regexp_extract_all(strip_accents(lower(descripcion)), '[\\p{L}\\p{Nd}]+'))"
 ORACLE: dict[str, str] = {
