@@ -122,7 +122,12 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
                 taken.append((x, y))
     for m in RUN.finditer(text):
         a, b = m.span()
-        if a and (text[a - 1].isalnum() or text[a - 1] in "«“\"'_") or not free(a, b) or text[max(0, a - 12) : a].rstrip().lower().endswith(OFFICE):
+        while m and (a and (text[a - 1].isalnum() or text[a - 1] == "_") or not free(a, a + 1)):
+            # the run began inside a word or an address: what follows its first space may still be one
+            cut_at = text.find(" ", a, b)
+            m = RUN.match(text, cut_at + 1, b + 2) if cut_at >= 0 else None
+            a, b = m.span() if m else (a, b)
+        if not m or a and text[a - 1] in "«“\"'" or not free(a, b) or text[max(0, a - 12) : a].rstrip().lower().endswith(OFFICE):
             continue
         t = TAIL.match(text, b)
         out.append(("run", a, b, "", *_left(text, a), "", m.group(), t.group(1) if t else ""))
@@ -158,7 +163,7 @@ def score_numbers(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     least the round's confidence, or of a shape most of whose instances are so typed, get the type.
     """
     e = found.where("kind IN ('number', 'code')").groupBy("kind", "shape", "left2", "left1", "right2").agg(F.count("*").alias("n"))
-    digits = F.split("shape", ":")[0].cast("int")
+    digits = F.split("shape", ":")[0].try_cast("int")
     may = {"phone": (F.col("kind") == "number") & (digits.isin(7, 10, 12, 13, 14)), "identity": (F.col("kind") == "code") | ((F.col("kind") == "number") & (digits == 11))}
     seed = {"phone": (F.col("kind") == "number") & F.col("shape").rlike(r"^1[0-4]:(\+|4 )"), "identity": F.col("shape").startswith("long")}
     e = e.withColumns({"is_phone": seed["phone"] & may["phone"], "is_identity": seed["identity"]})
@@ -198,7 +203,7 @@ def name_span(run: str, tail: str, known: dict[str, bool]) -> tuple[int, int] |
     """(start, end) of the personal name inside a run and what follows a comma; None when there is none.
 
     ``known`` maps folded name words to whether they are given names. A name has two words at least, an initial
-    counting as one; particles between them belong to it. "Surname Surname, Given" is one name.
+    counting as one, of which one is no given name; particles between them belong to it. "Surname Surname, Given" is one.
     """
     ts = [(m.start(), m.end(), fold(m.group().rstrip("."))) for m in re.finditer(r"[^\W\d_]+\.?", run)]
     best: tuple[int, int] | None = None
@@ -221,16 +226,17 @@ def name_span(run: str, tail: str, known: dict[str, bool]) -> tuple[int, int] |
             else:
                 break
             j += 1
-        while len(words) > 1 and len(words[0][1]) == 1 and known.get(words[1][1], len(words[1][1]) == 1):
-            words = words[1:]  # "C. Rodolfo ...": a title, not an initial
+        tw = [fold(w) for w in tail.split()] if tail and j >= len(ts) else []
+        turned = bool(tw) and all(known.get(w) for w in tw)
+        while len(words) > 1 and len(words[0][1]) == 1 and (known.get(words[1][1], len(words[1][1]) == 1) or turned or k and ts[k - 1][2] in ("el", "la")):
+            words = words[1:]  # "C. Rodolfo ...", "El C. ...": a title, not an initial
         real = [w for _, w in words if len(w) > 1]
         if real:
             a, b = ts[words[0][0]][0], ts[last][1]
-            tw = [fold(w) for w in tail.split()] if tail and j >= len(ts) else []
-            joined = bool(tw) and all(known.get(w) for w in tw) and not any(known[w] for w in real) and len(words) == len(real)
+            joined = turned and not any(known[w] for w in real)
             if joined:
                 b = len(run) + 2 + len(tail)
-            if joined or len(words) >= 2:
+            if joined or len(words) >= 2 and not all(known[w] for w in real):
                 if best is None or b - a > best[1] - best[0]:
                     best = (a, b)
         k = max(j, k + 1)
