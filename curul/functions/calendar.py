@@ -21,7 +21,7 @@ def _col(c: Column | str) -> Column:
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
-    return F.try_to_date(F.concat_ws("-", y, m, d), F.lit("y-M-d"))
+    return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), F.try_to_date(F.concat_ws("-", y, m, d), "y-M-d"))
 
 
 def _got(text: Column, pattern: str, group: int) -> Column:

@@ -48,7 +48,7 @@ def best_by_preference(rows: DataFrame, keys: list[str], rank_col: str, preferen
 
 def pivot_values(rows: DataFrame, row_keys: list[str], col: str, value: str, columns: list[str], default: str = "-") -> DataFrame:
     """One column per listed value; the default where there is no row, null where there is a row without value."""
-    p = rows.groupBy(*row_keys).pivot(col, columns).agg(F.count("*").alias("n"), F.max(value).alias("v"))
+    p = rows.groupBy(*row_keys).pivot(col, columns).agg(F.count(F.lit(1)).alias("n"), F.max(value).alias("v"))
     return p.select(*row_keys, *[F.when(F.coalesce(F.col(f"`{c}_n`"), F.lit(0)) == 0, default).otherwise(F.col(f"`{c}_v`").cast("string")).alias(c) for c in columns])
 
 

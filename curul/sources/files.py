@@ -18,7 +18,7 @@ def month_of_name(name: Column) -> Column:
     t = fold(name)
     p = "(" + "|".join(MONTHS) + r")[-_ ]?(\d{4})"
     m = F.array_position(F.array(*[F.lit(x) for x in MONTHS]), F.regexp_extract(t, p, 1))
-    return F.when(m > 0, F.try_to_date(F.concat_ws("-", F.regexp_extract(t, p, 2), m), F.lit("y-M")))
+    return F.when(m > 0, F.try_to_date(F.concat_ws("-", F.regexp_extract(t, p, 2), m), "y-M"))
 
 
 def listed_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
