@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Words that titles share without meaning.
 TITLE_STOP = tuple("de la el los las del por que se en y a al con para un una su sus sobre lo como es o".split())
@@ -42,13 +43,13 @@ def containment(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.least(F.size(a), F.size(b))), F.lit(0.0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two texts; 0 when either is null."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """0 to 100: the best ratio among the common words and the common words with either rest."""
 
@@ -65,7 +66,7 @@ def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """0 to 100: the best ratio of the shorter text with a stretch of its length in the longer."""
 

@@ -6,28 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def value_counts(records: DataFrame, determinant: list[str], target: str) -> DataFrame:
-    """(determinant..., value, n) over the records in which all of them are known; map-side combined."""
-    known = records.dropna(subset=[*determinant, target])
-    return known.groupBy(*determinant, F.col(target).alias("value")).agg(F.count("*").alias("n"))
+def dictionary(records: DataFrame, determinant: list[str], target: str) -> DataFrame:
+    """(__d0, __d1, ..., value, n, total, second): the most frequent target value of each determinant.
 
-
-def dictionary(counts: DataFrame, determinant: list[str]) -> DataFrame:
-    """(determinant..., value, n, total, second): the most frequent value of each determinant.
-
-    ``second`` is the count of the runner-up (0 when none): a tie shows as second = n. Among tied values the smallest
-    is kept, so the result is the same on every run.
+    Only records in which all of them are known count. ``second`` is the count of the runner-up (0 when none): a tie
+    shows as second = n. Among tied values the smallest is kept, so the result is the same on every run. All three
+    aggregations combine on the map side; a hot determinant reaches the join as one row a value.
     """
-    per = counts.groupBy(*determinant).agg(
-        F.sum("n").alias("total"),
-        F.max("n").alias("n"),
-        F.min(F.struct((-F.col("n")).alias("k"), F.col("value"))).alias("b"),
-        F.count_distinct("value").alias("values"),
-    )
-    ties = counts.join(per.select(*determinant, F.col("n").alias("top")), determinant).groupBy(*determinant).agg(
-        F.sum((F.col("n") == F.col("top")).cast("int")).alias("tops"), F.max(F.when(F.col("n") < F.col("top"), F.col("n"))).alias("below")
-    )
-    return per.join(ties, determinant).select(*determinant, F.col("b.value").alias("value"), "n", "total", F.when(F.col("tops") > 1, F.col("n")).otherwise(F.coalesce("below", F.lit(0))).alias("second"))
+    keys = [f"__d{k}" for k in range(len(determinant))]
+    known = records.select(*[F.col(c).alias(k) for c, k in zip(determinant, keys)], F.col(target).alias("value")).dropna()
+    counts = known.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    top = counts.groupBy(*keys).agg(F.sum("n").alias("total"), F.min(F.struct((-F.col("n")).alias("k"), F.col("value"))).alias("b"))
+    rest = counts.join(top.select(*keys, F.col("b.value").alias("__best")), keys).where("value <> __best").groupBy(*keys).agg(F.max("n").alias("second"))
+    return top.join(rest, keys, "left").select(*keys, F.col("b.value").alias("value"), (-F.col("b.k")).alias("n"), "total", F.coalesce("second", F.lit(0)).alias("second"))
 
 
 def mine_dependencies(records: DataFrame, determinants: list[list[str]], target: str, least_confidence: float = 0.95, least_support: int = 2) -> DataFrame:
@@ -38,7 +29,7 @@ def mine_dependencies(records: DataFrame, determinants: list[list[str]], target:
     """
     out = None
     for d in determinants:
-        t = dictionary(value_counts(records, d, target), d).where(F.col("total") >= least_support)
+        t = dictionary(records, d, target).where(F.col("total") >= least_support)
         one = t.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("records"), F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("agreeing"))
         one = one.select(F.lit("+".join(d)).alias("determinant"), F.lit(target).alias("target"), "records", "groups", "agreeing", F.expr("try_divide(agreeing, records)").alias("confidence"))
         out = one if out is None else out.unionByName(one)
@@ -50,14 +41,16 @@ def fill_missing(records: DataFrame, target: str, dependencies: list[list[str]],
 
     Dependencies are tried in order by left joins to their dictionaries; a dictionary entry counts only if its value
     isn't tied. Then the group's most frequent value, likewise untied. ``source_col`` is observed, dependency:<cols>,
-    group:<cols>, or null where the value stays missing. Null determinants never match. The dictionary side is
+    group:<cols>, or null where the value stays missing. Null determinants never match; repeated rows are filled alike;
+    an empty table gives an empty result. Columns of the two output names are replaced. The dictionary side is
     pre-aggregated to one row a key, so a hot key makes no wide group; the joins leave the strategy to the planner.
     """
     filled_col, source_col = filled_col or f"{target}_filled", source_col or f"{target}_source"
     out = records.withColumns({filled_col: F.col(target), source_col: F.when(F.col(target).isNotNull(), F.lit("observed"))})
     for kind, cols in [*(("dependency", d) for d in dependencies), *([("group", group)] if group else [])]:
-        t = dictionary(value_counts(records, cols, target), cols).where("second < n").select(*[F.col(c).alias(f"__{c}") for c in cols], F.col("value").alias("__value"))
-        on = [F.col(c) == F.col(f"__{c}") for c in cols]
+        keys = [f"__d{k}" for k in range(len(cols))]
+        t = dictionary(records, cols, target).where("second < n").select(*keys, F.col("value").alias("__value"))
+        on = [F.col(c) == F.col(k) for c, k in zip(cols, keys)]
         got = F.col(filled_col).isNull() & F.col("__value").isNotNull()
-        out = out.join(t, on, "left").withColumns({source_col: F.when(got, F.lit(f"{kind}:{'+'.join(cols)}")).otherwise(F.col(source_col)), filled_col: F.coalesce(filled_col, "__value")}).drop("__value", *[f"__{c}" for c in cols])
+        out = out.join(t, on, "left").withColumns({source_col: F.when(got, F.lit(f"{kind}:{'+'.join(cols)}")).otherwise(F.col(source_col)), filled_col: F.coalesce(filled_col, "__value")}).drop("__value", *keys)
     return out
