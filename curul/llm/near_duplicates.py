@@ -25,6 +25,8 @@ BANDS, ROWS = 64, 5
 #: A word in at least this share of the records counts as common. Records have some 50 words, so there are at most
 #: 50 / COMMON_SHARE common words, which bounds the list sent to the workers whatever the size of the collection.
 COMMON_SHARE = 1e-3
+#: Records added in thought when weighting words, so that in a small collection all words weigh nearly the same.
+PRIOR_RECORDS = 1000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,8 +82,8 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
     tops = reps.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("df")).where(F.col("df") >= max(2.0, COMMON_SHARE * n))
     tops = tops.select(F.xxhash64("w").alias("h"), "df").toPandas().sort_values("h")
     ids = tops["h"].to_numpy(np.int64)
-    rare = float(np.log(1 / COMMON_SHARE))
-    weights = np.clip(np.log(max(n, 1) / tops["df"].to_numpy(np.float64)), 0.02, rare)
+    rare = float(np.log((n + PRIOR_RECORDS) / max(1.0, COMMON_SHARE * n)))
+    weights = np.clip(np.log((n + PRIOR_RECORDS) / tops["df"].to_numpy(np.float64)), 0.02, rare)
     shared = spark.sparkContext.broadcast((ids, weights))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -11,6 +11,7 @@ once; what is kept of them until the end are the proposals.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -52,24 +53,25 @@ _DISTRICT = rf"(?:,? (?:[Cc]ol|COL|[Cc]olonia|COLONIA|[Ff]racc|FRACC|[Ff]raccion
 _POSTAL = r"(?:,? (?:C\. ?P\.?|CP|c\.p\.|[Cc]ódigo [Pp]ostal) ?\d{5})"
 ADDRESS = re.compile(rf"{_KIND} {_SWORD}(?: {_SWORD}){{0,7}}{_HOUSE}(?![\d/]){_INNER}?{_DISTRICT}?{_POSTAL}?")
 
-_W = rf"{_UP}(?:[^\W\d_]+|\.)"
+# Words are bounded and don't backtrack, so a text without spaces costs no more than another.
+_W = rf"{_UP}(?:[^\W\d_]{{1,40}}+(?![^\W\d_])|\.)"
 _PART = r"(?:(?:de la|de las|de los|del|de|DE LA|DE LAS|DE LOS|DEL|DE) )?"
 RUN = re.compile(rf"{_W}(?:(?: {_PART}{_W})+|(?=, {_UP}))")
-TAIL = re.compile(rf", ({_UP}[^\W\d_]+(?: {_UP}[^\W\d_]+)?)(?![^\W\d_])")
+TAIL = re.compile(rf", ({_UP}[^\W\d_]{{1,40}}+(?: {_UP}[^\W\d_]{{1,40}}+)?)(?![^\W\d_])")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|\n|\t")
 # The office that deputies are always named with.
 OFFICE = ("dip.", "dips.", "dip", "diputado", "diputada", "diputados", "diputadas")
 
 
 def _left(text: str, at: int) -> tuple[str, str]:
-    """Last two tokens and last token before a place, folded; ^ at the start of a sentence."""
+    """Last two tokens before a place and the last of them that is no stop or colon, folded; ^ at a sentence's start."""
     ts = _TOKEN.findall(text[max(0, at - 32) : at])[-2:]
     if not ts or ts[-1] in ".:\n" and (len(ts) < 2 or ts[-1] == "\n"):
         return "^", "^"
     ts = ["9" if t.isdigit() else fold(t) for t in ts]
     if ts[-1] == "." and len(ts) > 1 and len(ts[0]) > 5:
         return "^", "^"
-    return " ".join(ts), ts[-1]
+    return " ".join(ts), ts[0] if ts[-1] in ".:" and len(ts) > 1 else ts[-1]
 
 
 def _right(text: str, at: int) -> str:
@@ -79,8 +81,12 @@ def _right(text: str, at: int) -> str:
 def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, str]]:
     """(kind, start, end, shape, left2, left1, right2, run, tail) of one text; spans in characters."""
     out = []
-    taken: list[tuple[int, int]] = []
-    free = lambda a, b: not any(x < b and a < y for x, y in taken)
+    taken: list[tuple[int, int]] = []  # in order, apart from one another
+
+    def free(a: int, b: int) -> bool:
+        k = bisect_left(taken, (b, 0))
+        return not k or taken[k - 1][1] <= a
+
     last = 0
     for m in AT_SIGN.finditer(text):
         at = m.start()
@@ -91,13 +97,13 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
         full = begin and EMAIL.match(text, low + begin.start())
         if full and full.end() > at:
             out.append(("email", full.start(), full.end(), "", "", "", "", "", ""))
-            taken.append(full.span())
+            insort(taken, full.span())
             last = full.end()
     for m in ADDRESS.finditer(text):
         a, b = m.span()
-        if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")):
+        if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")) and free(a, b):
             out.append(("address", a, b, "", "", "", "", "", ""))
-            taken.append((a, b))
+            insort(taken, (a, b))
     last = 0
     for m in SIX.finditer(text):
         a = m.start()
@@ -108,7 +114,7 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
         if c and c.start() <= a < c.end() and (c.start() == 0 or not (text[c.start() - 1].isalnum() or text[c.start() - 1] in "/-")) and not text[c.end() : c.end() + 1].isalnum() and free(*c.span()):
             s = re.sub(r"[A-Za-z]", "A", re.sub(r"\d", "9", c.group()))
             out.append(("code", c.start(), c.end(), s if len(s) < 12 else f"long{len(re.sub(r'[^A9]', '', s))}", *_left(text, c.start()), _right(text, c.end()), "", ""))
-            taken.append(c.span())
+            insort(taken, c.span())
             last = c.end()
     for run in DIGITS.finditer(text):
         a, b = run.span()
@@ -119,7 +125,7 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
             n = sum(map(str.isdigit, m.group()))
             if 7 <= n <= 14 and not (x and (text[x - 1].isalnum() or text[x - 1] in "$/.,:#+-")) and not (text[y : y + 1].isalnum() or text[y : y + 1] == "/" or text[y : y + 1] in ".,:-" and text[y + 1 : y + 2].isdigit()) and free(x, y):
                 out.append(("number", x, y, f"{n}:" + re.sub(r"\d+", lambda g: str(len(g.group())), m.group()), *_left(text, x), _right(text, y), "", ""))
-                taken.append((x, y))
+                insort(taken, (x, y))
     for m in RUN.finditer(text):
         a, b = m.span()
         while m and (a and (text[a - 1].isalnum() or text[a - 1] == "_") or not free(a, a + 1)):
@@ -172,7 +178,7 @@ def score_numbers(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         new = {}
         for t in ("phone", "identity"):
             hit = F.col(f"is_{t}")
-            near = (_share(hit, "left2") >= least) | ((_share(hit, "left1") >= least) & (F.sum("n").over(Window.partitionBy("left2")) <= 3)) | ((_share(hit, "right2") >= 0.3) & (F.lit(t) == "identity"))
+            near = (_share(hit, "left2") >= least) | (_share(hit, "left1") >= max(least, 0.5)) | ((_share(hit, "right2") >= 0.3) & (F.lit(t) == "identity"))
             new[f"is_{t}"] = may[t] & (hit | near | (_share(hit, "shape") >= 0.6))
         e = e.withColumns(new)
     return e.select("kind", "shape", "left2", "left1", "right2", F.when(F.col("is_identity"), "identity").when(F.col("is_phone"), "phone").alias("tipo")).where("tipo IS NOT NULL")
@@ -246,8 +252,8 @@ def name_span(run: str, tail: str, known: dict[str, bool]) -> tuple[int, int] |
 def find_personal(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tipo, inicio, fin): every personal detail located, in characters of the text, end exclusive.
 
-    Null and empty texts have none. Ids must be unique. Spans of one text don't overlap; an address keeps the names
-    inside it.
+    Null and empty texts have none; names in rows with a null id aren't located. Ids must be unique. Spans of one text
+    don't overlap; an address keeps the names inside it. Other columns, whatever their names, play no part.
     """
     found = cut(propose(docs, id_col, text_col))
     sure = found.where("kind IN ('email', 'address')").select("id", F.col("kind").alias("tipo"), F.col("start").alias("inicio"), F.col("stop").alias("fin"))
@@ -272,11 +278,10 @@ def find_personal(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def redact(docs: DataFrame, id_col: str, text_col: str, out_col: str = "redacted") -> DataFrame:
     """All rows and columns, with the text in which every personal detail is a typed placeholder, the rest unchanged.
 
-    Null texts stay null, texts without personal details stay as they are. ``out_col`` must not be a column already.
+    Null texts stay null, texts without personal details stay as they are, as do texts of rows with a null id. A column
+    of the name ``out_col`` is replaced.
     """
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col} exists")
-    spans = find_personal(docs, id_col, text_col).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("inicio", "fin", "tipo"))).alias("__spans"))
+    spans = find_personal(docs, id_col, text_col).groupBy(F.col("id").alias("__doc")).agg(F.sort_array(F.collect_list(F.struct("inicio", "fin", "tipo"))).alias("__spans"))
 
     @F.pandas_udf("string")
     def replace(texts: pd.Series, all_spans: pd.Series) -> pd.Series:
@@ -293,4 +298,4 @@ def redact(docs: DataFrame, id_col: str, text_col: str, out_col: str = "redacted
             out.append("".join([*parts, t[at:]]))
         return pd.Series(out, dtype=object)
 
-    return docs.join(spans, docs[id_col] == spans["id"], "left").withColumn(out_col, replace(F.col(text_col), F.col("__spans"))).drop(spans["id"]).drop("__spans")
+    return docs.join(spans, F.col(id_col) == F.col("__doc"), "left").withColumn(out_col, replace(F.col(text_col), F.col("__spans"))).drop("__doc", "__spans")

@@ -19,12 +19,9 @@ from curul.functions.unicode_text import UNSTABLE, canonical
 def canonical_text(records: DataFrame, text_col: str, out_col: str = "canonical", changed_col: str = "needed_change") -> DataFrame:
     """All rows and columns, with the canonical text and whether the text held a character out of place.
 
-    Null texts stay null with ``changed_col`` false; empty texts stay empty. ``out_col`` and ``changed_col`` must not
-    be columns already.
+    Null texts stay null with ``changed_col`` false; empty texts stay empty; repeated rows stay repeated. Columns of the
+    names ``out_col`` and ``changed_col`` are replaced.
     """
-    for c in (out_col, changed_col):
-        if c in records.columns:
-            raise ValueError(f"column {c} exists")
     suspect = F.coalesce(F.col(text_col).rlike(UNSTABLE), F.lit(False))
     stable = records.where(~suspect).withColumns({out_col: F.col(text_col), changed_col: F.lit(False)})
 
@@ -35,4 +32,4 @@ def canonical_text(records: DataFrame, text_col: str, out_col: str = "canonical"
 
     fixed = records.where(suspect).withColumn("__fixed", fix(F.col(text_col)))
     fixed = fixed.withColumns({out_col: F.col("__fixed.t"), changed_col: F.col("__fixed.c")}).drop("__fixed")
-    return stable.unionByName(fixed)
+    return stable.unionByName(fixed.select(*stable.columns))
