@@ -36,6 +36,13 @@ def mine_dependencies(records: DataFrame, determinants: list[list[str]], target:
     return out.withColumn("verified", F.coalesce(F.col("confidence") >= least_confidence, F.lit(False)))
 
 
+def verified_dependencies(records: DataFrame, determinants: list[list[str]], target: str, least_confidence: float = 0.95) -> list[list[str]]:
+    """The candidates that the complete records bear out, in the order given: confidence at or above the limit, or no
+    group of two records that could speak against it. One row a candidate comes to the driver."""
+    m = {r["determinant"]: r["confidence"] for r in mine_dependencies(records, determinants, target, least_confidence).collect()}
+    return [d for d in determinants if m["+".join(d)] is None or m["+".join(d)] >= least_confidence]
+
+
 def fill_missing(records: DataFrame, target: str, dependencies: list[list[str]], group: list[str] | None = None, filled_col: str | None = None, source_col: str | None = None) -> DataFrame:
     """All rows, with the target filled and where each value came from.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curul.functions.catalog_udf import entry_id, list_of, party_catalog, says_missing
 from curul.functions.lexicon import Catalog
-from curul.operators.imputation import fill_missing
+from curul.operators.imputation import fill_missing, verified_dependencies
 from curul.operators.name_resolution import person_of_spelling
 from curul.plans.state import cut
 
@@ -41,9 +41,11 @@ def identified(records: DataFrame, roster: DataFrame, committees: DataFrame, top
 def filled(ids: DataFrame) -> DataFrame:
     """The rows of ``identified`` with partido_id by (person, legislatura) and tema_id by committee filled in.
 
-    Only fields that are missing are filled; a value that names no entry stays as it is. The sources say how.
+    The dependency is used only if the complete records bear it out. Only fields that are missing are filled; a value
+    that names no entry stays as it is. The sources say how.
     """
-    p = fill_missing(ids, "partido_id", [["person", "legislatura"]])
+    ids = cut(ids)
+    p = fill_missing(ids, "partido_id", verified_dependencies(ids, [["person", "legislatura"]], "partido_id"))
     p = p.withColumn("partido_source", F.when((F.col("partido_id_source") == "observed") | F.col("partido_missing"), F.col("partido_id_source")))
     t = fill_missing(p, "tema_id", [], group=["comision_id"])
     return t.withColumn("tema_source", F.when((F.col("tema_id_source") == "observed") | F.col("tema_missing"), F.col("tema_id_source")))

@@ -25,8 +25,15 @@ def change_flag(keys: list[Column], window: object) -> Column:
 def run_numbers(rows: DataFrame, part: list[str], order: list[str | Column], keys: list[str], run_col: str = "run", number_col: str = "number") -> DataFrame:
     """Number of the run of equal keys a row is in, and the row's number within it, both from 1."""
     w = Window.partitionBy(*part).orderBy(*order)
-    r = rows.withColumn("__flag", change_flag([F.col(k) for k in keys], w)).withColumn(run_col, F.sum("__flag").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__flag")
-    return r.withColumn(number_col, F.row_number().over(Window.partitionBy(*part, run_col).orderBy(*order)))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    r = rows.withColumns({"__flag": change_flag([F.col(k) for k in keys], w), "__k": F.row_number().over(w)})
+    r = r.withColumns({run_col: F.sum("__flag").over(upto), number_col: _since_change("__flag", upto)})
+    return r.drop("__flag", "__k")
+
+
+def _since_change(flag: str, upto: object) -> Column:
+    """Rows since the last change: the place less that of the change, so no second shuffle by run is needed."""
+    return F.col("__k") - F.max(F.when(F.col(flag) == 1, F.col("__k"))).over(upto) + 1
 
 
 def folios(rows: DataFrame, part: list[str], order: list[str | Column], date_col: str) -> DataFrame:
@@ -37,13 +44,12 @@ def folios(rows: DataFrame, part: list[str], order: list[str | Column], date_col
     """
     d = F.col(date_col)
     r = rows.withColumns({"term": term_start(d), "legislative_year": legislative_year(d), "period": period(d)})
-    dated = F.col("term").isNotNull()
-    w = Window.partitionBy(*part, dated).orderBy(*order)
-    r = r.withColumns({"__t": change_flag([F.col("term")], w), "__p": change_flag([F.col("term"), F.col("legislative_year"), F.col("period")], w)})
+    r = r.withColumn("__dated", F.col("term").isNotNull())
+    w = Window.partitionBy(*part, "__dated").orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumns({"__rt": F.sum("__t").over(upto), "__rp": F.sum("__p").over(upto)})
-    n = lambda run: F.row_number().over(Window.partitionBy(*part, dated, run).orderBy(*order))
-    return r.withColumns({"folio_term": F.when(dated, n("__rt")), "folio_period": F.when(dated, n("__rp"))}).drop("__t", "__p", "__rt", "__rp")
+    r = r.withColumns({"__t": change_flag([F.col("term")], w), "__p": change_flag([F.col("term"), F.col("legislative_year"), F.col("period")], w), "__k": F.row_number().over(w)})
+    r = r.withColumns({"folio_term": F.when(F.col("__dated"), _since_change("__t", upto)), "folio_period": F.when(F.col("__dated"), _since_change("__p", upto))})
+    return r.drop("__dated", "__t", "__p", "__k")
 
 
 def folios_by_key(rows: DataFrame, order: list[str | Column], date_col: str, part: list[str] | None = None) -> DataFrame:
