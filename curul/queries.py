@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curul.functions import calendar as cal
-from curul.functions import classify, cleaning
+from curul.functions import classify, cleaning, records
 from curul.functions.numbers_es import WORDS, number_of, words_of
 from curul.functions.similarity import containment, dice, jaccard, stems, title_words
 from curul.functions.text import fold, words
@@ -422,14 +422,11 @@ def contact_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT nombre, folio_foto, replace(lower(w[-2]), 'ñ', 'n￿') || ' ' || replace(lower(w[-1]), 'ñ', 'n￿') || ' ' || replace(lower(array_to_string(w[:-3], ' ')), 'ñ', 'n￿') AS key FROM (SELECT DISTINCT nombre, folio_foto, string_split(nombre, ' ') AS w FROM perfiles WHERE nombre IS NOT NULL)""")
+    SELECT nombre, folio_foto, replace(translate(w[-2] || ' ' || w[-1] || '|' || array_to_string(w[:-3], ' '), 'áéíóúü', 'aeiouu'), 'ñ', 'n￿') AS key FROM (SELECT DISTINCT nombre, folio_foto, string_split(lower(nombre), ' ') AS w FROM perfiles WHERE nombre IS NOT NULL)""")
 def surname_order(spark: SparkSession, d: str) -> DataFrame:
     """Roster names by surnames, then given names, ñ after n."""
-    w = F.split("nombre", " ")
-    after_n = lambda c: F.regexp_replace(F.lower(c), "ñ", "n￿")
-    given = F.array_join(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), " ")
     p = table(spark, d, "perfiles").where("nombre IS NOT NULL").select("nombre", "folio_foto").distinct()
-    return p.select("nombre", "folio_foto", F.concat_ws(" ", after_n(F.get(w, F.size(w) - 2)), after_n(F.element_at(w, -1)), after_n(given)).alias("key")).orderBy("key")
+    return p.withColumn("key", records.surname_key("nombre")).orderBy("key")
 
 
 @query("""
@@ -671,6 +668,73 @@ def set_similarities(spark: SparkSession, d: str) -> DataFrame:
     return r.select("registro_id", jaccard(F.col("a"), F.col("b")).alias("jaccard"), containment(F.col("a"), F.col("b")).alias("containment"))
 
 
+# --- fields -----------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+    SELECT votacion_id, diputado, voto, CASE WHEN secret THEN 4 WHEN v = 'favor' THEN 1 WHEN v = 'contra' THEN 2 WHEN v = 'abstencion' THEN 3 ELSE 0 END AS code
+    FROM (SELECT votacion_id, tipo_votacion = 'Cédula' AS secret, unnest(votaciones, max_depth := 2) FROM votaciones) x, LATERAL (SELECT trim(lower(strip_accents(voto))) AS v)""")
+def vote_codes(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "votaciones").select("votacion_id", (F.col("tipo_votacion") == "Cédula").alias("secret"), F.explode("votaciones").alias("v"))
+    return v.select("votacion_id", "v.diputado", "v.voto", records.vote_code(F.col("v.voto"), F.col("secret")).alias("code"))
+
+
+@query("""
+    SELECT registro_id, 41 - (coalesce(votos_f, 0) + coalesce(votos_c, 0) + coalesce(votos_a, 0)) AS absent, nullif(votos_c, 0) AS against, 100.0 * votos_f / nullif(votos_f + votos_c + votos_a, 0) AS percent FROM iniciativas_pa""")
+def absences(spark: SparkSession, d: str) -> DataFrame:
+    f, c, a = F.col("votos_f"), F.col("votos_c"), F.col("votos_a")
+    return table(spark, d, "iniciativas_pa").select("registro_id", records.absences(f, c, a).alias("absent"), F.nullif(c, F.lit(0)).alias("against"), records.percent(f, f + c + a).alias("percent"))
+
+
+@query("""
+    SELECT folio_foto, nombre, CASE WHEN regexp_matches(t, '\\bdoctor(ado|a)?\\b') THEN 'Doctorado' WHEN regexp_matches(t, '\\bmaestr(ia|o|a)\\b') THEN 'Maestría' WHEN regexp_matches(t, '\\bpost?grado\\b') THEN 'Postgrado' WHEN regexp_matches(t, '\\bespecialidad\\b|\\bespecializacion\\b') THEN 'Especialidad'
+        WHEN regexp_matches(t, '\\blicenciatura\\b|\\blicenciad[oa]\\b|^lic\\b') THEN 'Licenciatura' WHEN regexp_matches(t, '\\bingenier(ia|o|a)\\b') THEN 'Ingeniería' WHEN regexp_matches(t, '\\btecnic[oa] superior\\b|\\btsu\\b') THEN 'Técnico Superior' WHEN regexp_matches(t, '\\bbachillerato\\b|\\bpreparatoria\\b') THEN 'Bachillerato' END AS degree
+    FROM (SELECT folio_foto, nombre, trim(lower(strip_accents(ultimo_grado_de_estudios))) AS t FROM perfiles)""")
+def degrees(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "perfiles").select("folio_foto", "nombre", records.degree("ultimo_grado_de_estudios")["degree"].alias("degree"))
+
+
+@query("""
+    SELECT registro_id, CASE WHEN numero IS NULL THEN -1 WHEN numero % 10 = 0 THEN 1000000 WHEN numero % 10 = 1 THEN -1 ELSE numero END AS key FROM iniciativas_pa""")
+def mixed_order(spark: SparkSession, d: str) -> DataFrame:
+    """Agenda numbers as text, some of them the closing word, in their order."""
+    n = F.when(F.pmod("numero", F.lit(10)) == 0, "AG").when(F.pmod("numero", F.lit(10)) == 1, "?").otherwise(F.col("numero").cast("string"))
+    return table(spark, d, "iniciativas_pa").select("registro_id", records.mixed_key(n).alias("key")).orderBy("key")
+
+
+@query("""
+    SELECT comision_id, array_to_string(list_transform(string_split(lower(comision), ' '), lambda x, i: CASE WHEN i > 1 AND x IN ('de', 'del', 'la', 'las', 'los', 'y', 'e', 'en', 'a', 'al', 'con', 'por', 'para', 'el', 'que', 'se', 'o', 'u') THEN x ELSE upper(x[1]) || x[2:] END), ' ') AS title FROM cat_comisiones""")
+def title_case(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "cat_comisiones").select("comision_id", records.title_case(F.upper("comision")).alias("title"))
+
+
+@query("""
+    SELECT doc_id, regexp_matches(lower(strip_accents(text)), '(?m)^[^\\n]*\\bsolicit[^\\n]*$') AS asks, CASE WHEN acta_id IS NULL THEN NULL ELSE nullif(regexp_extract(acta_id, '(\\d+)$', 1), '') END AS number
+    FROM documents""")
+def line_predicate(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a line that asks for something, and the number in the id of their minutes."""
+    url = F.concat(F.lit("https://x/acta_"), F.regexp_extract("acta_id", r"(\d+)$", 1))
+    return table(spark, d, "documents").select("doc_id", records.any_line("text", r"\bsolicit").alias("asks"), records.document_id(url).alias("number"))
+
+
+@query("""
+    SELECT registro_id, list_count(list_filter(list_transform([c1, c2, c3], lambda x: CASE lower(strip_accents(trim(x))) WHEN 'vivienda digna' THEN 11 WHEN 'asuntos electorales' THEN 4 WHEN 'pesca y acuacultura' THEN 12 END), lambda t: t IS NOT NULL)) > 0 AS known,
+        list_filter(list_transform([c1, c2, c3], lambda x: CASE lower(strip_accents(trim(x))) WHEN 'vivienda digna' THEN 11 WHEN 'asuntos electorales' THEN 4 WHEN 'pesca y acuacultura' THEN 12 END), lambda t: t IS NOT NULL)[1] AS topic
+    FROM iniciativas_pa WHERE coalesce(lower(strip_accents(c1)), '') NOT LIKE 'comi%' AND coalesce(lower(strip_accents(c2)), '') NOT LIKE 'comi%'""")
+def topic_by_committee(spark: SparkSession, d: str) -> DataFrame:
+    t = records.topic_of(F.array("c1", "c2", "c3"), {"Vivienda Digna": 11, "Asuntos Electorales": 4, "Pesca y Acuacultura": 12})
+    r = table(spark, d, "iniciativas_pa").where(~F.coalesce(fold("c1"), F.lit("")).like("comi%") & ~F.coalesce(fold("c2"), F.lit("")).like("comi%"))
+    return r.select("registro_id", t.isNotNull().alias("known"), t.alias("topic"))
+
+
+@query("""
+    SELECT legislatura, min(try_strptime(fecha_pres, '%d/%m/%y'))::DATE::VARCHAR AS oldest, max(length(descripcion))::INT AS longest, max(len(list_filter([c1, c2, c3, c4, c5, c6], lambda x: x IS NOT NULL)))::INT AS most_slots FROM iniciativas_pa GROUP BY 1""")
+def extremes(spark: SparkSession, d: str) -> DataFrame:
+    """Oldest date, longest text and longest list of each legislature."""
+    n = F.size(F.filter(F.array("c1", "c2", "c3", "c4", "c5", "c6"), lambda x: x.isNotNull()))
+    return table(spark, d, "iniciativas_pa").groupBy("legislatura").agg(F.min(cal.any_date("fecha_pres")).cast("string").alias("oldest"), F.max(F.length("descripcion")).alias("longest"), F.max(n).alias("most_slots"))
+
+
 # --- streams ----------------------------------------------------------------------------------------------------
 
 
