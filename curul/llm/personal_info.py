@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curul.functions.names import DOTTED_GIVEN
 from curul.functions.unicode_text import fold
 from curul.plans.state import cut
 
@@ -53,11 +54,15 @@ _DISTRICT = rf"(?:,? (?:[Cc]ol|COL|[Cc]olonia|COLONIA|[Ff]racc|FRACC|[Ff]raccion
 _POSTAL = r"(?:,? (?:C\. ?P\.?|CP|c\.p\.|[Cc]ódigo [Pp]ostal) ?\d{5})"
 ADDRESS = re.compile(rf"{_KIND} {_SWORD}(?: {_SWORD}){{0,7}}{_HOUSE}(?![\d/]){_INNER}?{_DISTRICT}?{_POSTAL}?")
 
-# Words are bounded and don't backtrack, so a text without spaces costs no more than another.
-_W = rf"{_UP}(?:[^\W\d_]{{1,40}}+(?![^\W\d_])|\.)"
+_ABBREVIATED = [a for d in DOTTED_GIVEN for a in (d.capitalize(), d.upper())]
+_BY_LENGTH = "|".join("(?<=" + "|".join(rf"{a}\." for a in _ABBREVIATED if len(a) == n) + ")" for n in sorted({len(a) for a in _ABBREVIATED}))
+# Words are bounded and don't backtrack, so a text without spaces costs no more than another. A dot belongs to a word
+# only as that of an initial or a short given name.
+_LONG = rf"[^\W\d_]{{1,40}}+(?![^\W\d_])(?:\.(?:{_BY_LENGTH}))?"
+_W = rf"{_UP}(?:{_LONG}|\.)"
 _PART = r"(?:(?:de la|de las|de los|del|de|DE LA|DE LAS|DE LOS|DEL|DE) )?"
 RUN = re.compile(rf"{_W}(?:(?: {_PART}{_W})+|(?=, {_UP}))")
-TAIL = re.compile(rf", ({_UP}[^\W\d_]{{1,40}}+(?: {_UP}[^\W\d_]{{1,40}}+)?)(?![^\W\d_])")
+TAIL = re.compile(rf", ({_UP}{_LONG}(?: {_UP}{_LONG})?)")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|\n|\t")
 # The office that deputies are always named with.
 OFFICE = ("dip.", "dips.", "dip", "diputado", "diputada", "diputados", "diputadas")
@@ -212,6 +217,7 @@ def name_span(run: str, tail: str, known: dict[str, bool]) -> tuple[int, int] |
     counting as one, of which one is no given name; particles between them belong to it. "Surname Surname, Given" is one.
     """
     ts = [(m.start(), m.end(), fold(m.group().rstrip("."))) for m in re.finditer(r"[^\W\d_]+\.?", run)]
+    known = known | {w: True for a, b, w in ts if run[b - 1] == "." and w in DOTTED_GIVEN} | {w[:-1]: True for w in fold(tail or "").split() if w[:-1] in DOTTED_GIVEN}
     best: tuple[int, int] | None = None
     k = 0
     while k < len(ts):
@@ -232,7 +238,7 @@ def name_span(run: str, tail: str, known: dict[str, bool]) -> tuple[int, int] |
             else:
                 break
             j += 1
-        tw = [fold(w) for w in tail.split()] if tail and j >= len(ts) else []
+        tw = [fold(w).rstrip(".") for w in tail.split()] if tail and j >= len(ts) else []
         turned = bool(tw) and all(known.get(w) for w in tw)
         while len(words) > 1 and len(words[0][1]) == 1 and (known.get(words[1][1], len(words[1][1]) == 1) or turned or k and ts[k - 1][2] in ("el", "la")):
             words = words[1:]  # "C. Rodolfo ...", "El C. ...": a title, not an initial

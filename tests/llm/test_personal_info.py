@@ -61,3 +61,6 @@ def test_name_span():
     run = lambda r, t="": (lambda s: s and (r + (", " + t if t else ""))[s[0] : s[1]])(name_span(r, t, known))
     assert run("Habla Ana Cigua Gembre") == "Ana Cigua Gembre" and run("El C. Mario Cigua") == "Mario Cigua" and run("A. Cigua Gembre") == "A. Cigua Gembre"
     assert run("Cigua Gembre", "Ana") == "Cigua Gembre, Ana" and run("Ana Mario") is None and run("Ana de la Cigua") == "Ana de la Cigua" and run("Ley General") is None and run("Cigua Gembre", "Col") == "Cigua Gembre"
+    assert run("Ma. Cigua Gembre") == "Ma. Cigua Gembre" and run("Ana Fco. Cigua") == "Ana Fco. Cigua" and run("Cigua Gembre", "Gpe.") == "Cigua Gembre, Gpe."
+    texts = [p[-2:] for t in ("Soy Ma. Cigua Gembre y digo", "firman Cigua Gembre, Fco.; otro", "el PLENO. Ana Cigua habló") for p in proposals(t) if p[0] == "run"]
+    assert texts == [("Soy Ma. Cigua Gembre", ""), ("Cigua Gembre", "Fco."), ("Ana Cigua", "")]
