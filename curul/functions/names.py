@@ -23,6 +23,8 @@ SHORT_GIVEN = {
     "marce": "marcelino marcela", "chelino": "marcelino", "efra": "efrain", "balta": "baltazar", "joaco": "joaquin", "quino": "joaquin quirino", "moncho": "ramon", "mon": "ramon", "mundo": "edmundo raimundo", "arqui": "arturo", "turo": "arturo", "tito": "ernesto roberto", "robe": "roberto", "pilo": "porfirio", "pfo": "porfirio", "roge": "rogelio", "hila": "hilario", "layo": "hilario", "dario": "dario",
     "chio": "rocio", "ro": "rocio", "chiva": "silvia", "silvi": "silvia", "nadi": "nadia", "kari": "karina", "claus": "claudia", "clau": "claudia", "ofe": "ofelia", "delfi": "delfina", "gris": "griselda", "jacin": "jacinta", "chinta": "jacinta", "ame": "amalia", "mali": "amalia", "cuca": "refugio", "ara": "araceli", "cheli": "araceli", "sara": "sara", "susi": "susana", "susy": "susana", "mine": "ines", "marti": "martha", "normita": "norma", "esthercita": "esther", "auro": "aurora", "josefa": "josefa", "jva": "javier", "javi": "javier", "rdo": "ricardo", "eduo": "eduardo", "mgta": "margarita", "dgo": "domingo", "feo": "federico", "alf": "alfonso", "alb": "alberto", "edo": "eduardo", "gab": "gabriel gabriela", "rob": "roberto", "carm": "carmen", "carmelita": "carmen", "luchita": "lucia", "esp": "esperanza", "vte": "vicente", "pbro": "", "franc": "francisco", "bdo": "bernardo", "berna": "bernardo", "sto": "santos",
 }
+# Those short forms that are written with a dot.
+DOTTED_GIVEN = ("ma", "ml", "fco", "fdo", "gpe", "gmo", "ant", "rdo", "alf", "alb", "bdo", "vte", "igno", "alej", "conc", "mgta", "carm")
 # Words that make a presenter a body rather than a person.
 BODY_WORDS = frozenset("junta mesa directiva grupo parlamentario parlamentaria bancada fraccion ayuntamiento ayto municipio municipal cabildo colegio universidad univ tribunal trib consejo cons comision com comite titular ejecutivo poder gobierno gobernador congreso legislatura politecnica instituto secretaria fiscalia procuraduria camara asociacion sindicato federacion organismo auditoria contraloria direccion acuerdos acdos arbitraje notarios gp jta coordinacion partido presidencia".split())
 
