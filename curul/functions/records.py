@@ -77,7 +77,7 @@ def surname_key(name: Column | str) -> Column:
     """Sorts by surnames, then given names: "Given Given Surname Surname" or "Surname Surname, Given". ñ comes after n,
     particles stay with the word after them, titles are left out. Other languages' order rules play no part."""
     t = collapse_spaces(F.regexp_replace(F.lower(_col(name)), r"^(?:c|lic|dr|dra|ing|dip|diputad[oa])\.?\s+", ""))
-    joined = F.regexp_replace(t, r"\b(de la|de las|de los|del|de)\s+", "$1_")
+    joined = F.regexp_replace(F.regexp_replace(t, r"\bde (la|las|los) ", "de_$1_"), r"\b(del?) ", "$1_")
     w = F.split(joined, " ")
     turned = F.when(t.contains(","), F.regexp_replace(t, r"\s*,\s*", "|")).otherwise(
         F.concat(F.array_join(F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), 2), " "), F.lit("|"), F.array_join(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), " "))
@@ -101,6 +101,26 @@ def degree(text: Column | str) -> Column:
     return out
 
 
+def study(text: Column | str) -> Column:
+    """(degree, rank, field, institution) of a line as "Licenciatura en Derecho por la Universidad X"; parts that aren't
+    there are null."""
+    t = collapse_spaces(_col(text))
+    place = r"(?iu)(?:\s*[,:;–—-]\s*|\s+(?:cursad[oa]s?\s+)?(?:(?:en|por|de|con)\s+(?:la\s+|el\s+)?)?)((?:universidad|instituto|escuela|centro\s+universitario|colegio|facultad|tecnol[óo]gico|academia|polit[ée]cnic[oa])\b.*)$"
+    institution = F.nullif(F.regexp_extract(t, place, 1), F.lit(""))
+    rest = F.regexp_replace(t, place, "")
+    field = F.nullif(F.trim(F.regexp_extract(rest, r"(?iu)^\S+(?:\s+superior)?\s+(?:en|de)\s+(.+)$", 1)), F.lit(""))
+    d = degree(rest)
+    return F.struct(d["degree"].alias("degree"), d["rank"].alias("rank"), field.alias("field"), institution.alias("institution"))
+
+
+def phone_form(text: Column | str) -> Column:
+    """Ten digits as 123 456 7890, country and trunk prefixes left out; null where there aren't ten digits."""
+    n = F.regexp_replace(F.regexp_replace(_col(text), r"(?i)\s*ext\..*$", ""), r"\D", "")
+    ten = F.regexp_extract(n, r"^(?:0052|52)?1?(\d{10})$|^01(\d{10})$", 1)
+    ten = F.when(ten == "", F.regexp_extract(n, r"^01(\d{10})$", 1)).otherwise(ten)
+    return F.when(ten != "", F.concat_ws(" ", F.substring(ten, 1, 3), F.substring(ten, 4, 3), F.substring(ten, 7, 4)))
+
+
 def people(text: Column | str) -> Column:
     """Names in "A, B y C", those of at least two words; null gives an empty array."""
     return F.coalesce(F.filter(F.transform(F.split(_col(text), r"\s*[,;]\s*|\s+y\s+"), lambda x: F.trim(x)), lambda x: F.size(F.split(x, r"\s+")) >= 2), F.array().cast("array<string>"))

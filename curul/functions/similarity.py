@@ -49,41 +49,42 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)])
 
 
-@F.pandas_udf(DoubleType())
-def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def token_set_of(x: str | None, y: str | None) -> float:
     """0 to 100: the best ratio among the common words and the common words with either rest."""
+    s, t = set((x or "").split()), set((y or "").split())
+    if not s or not t:
+        return 0.0
+    both = " ".join(sorted(s & t))
+    left, right = (" ".join(filter(None, [both, " ".join(sorted(d))])) for d in (s - t, t - s))
+    if both and both in (left, right):
+        return 100.0
+    return 100 * max(difflib.SequenceMatcher(None, p, q).ratio() for p, q in ((both, left), (both, right), (left, right)))
 
-    def one(x: str | None, y: str | None) -> float:
-        s, t = set((x or "").split()), set((y or "").split())
-        if not s or not t:
-            return 0.0
-        both = " ".join(sorted(s & t))
-        l, r = (" ".join(filter(None, [both, " ".join(sorted(d))])) for d in (s - t, t - s))
-        if both and (l == both or r == both):
-            return 100.0
-        return 100 * max(difflib.SequenceMatcher(None, p, q).ratio() for p, q in ((both, l), (both, r), (l, r)))
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+def partial_of(x: str | None, y: str | None) -> float:
+    """0 to 100: the best ratio of the shorter text with a stretch of its length in the longer."""
+    if not x or not y:
+        return 0.0
+    s, t = sorted((x, y), key=len)
+    if s in t:
+        return 100.0
+    best = 0.0
+    for i, j, _ in difflib.SequenceMatcher(None, s, t, autojunk=False).get_matching_blocks():
+        k = max(0, j - i)
+        best = max(best, difflib.SequenceMatcher(None, s, t[k : k + len(s)], autojunk=False).ratio())
+    return 100 * best
 
 
 @F.pandas_udf(DoubleType())
-def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """0 to 100: the best ratio of the shorter text with a stretch of its length in the longer."""
+def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """``token_set_of`` of two columns."""
+    return pd.Series([token_set_of(x, y) for x, y in zip(a, b)], dtype="float64")
+
 
-    def one(x: str | None, y: str | None) -> float:
-        if not x or not y:
-            return 0.0
-        s, t = sorted((x, y), key=len)
-        if s in t:
-            return 100.0
-        m = difflib.SequenceMatcher(None, s, t, autojunk=False)
-        best = 0.0
-        for i, j, _ in m.get_matching_blocks():
-            k = max(0, j - i)
-            best = max(best, difflib.SequenceMatcher(None, s, t[k : k + len(s)], autojunk=False).ratio())
-        return 100 * best
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+@F.pandas_udf(DoubleType())
+def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """``partial_of`` of two columns."""
+    return pd.Series([partial_of(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def title_similarity(a: Column, b: Column) -> Column:

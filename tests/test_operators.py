@@ -205,3 +205,25 @@ def test_streams(spark, tmp_path):
     up.write.parquet(str(tmp_path / "up"))
     streams.stream_upsert(streams.read_growing(spark, str(tmp_path / "up"), up.schema), str(tmp_path / "state"), str(tmp_path / "cp3"), "k", "st", ["at"])
     assert rows(spark.read.parquet(str(tmp_path / "state" / "v0"))) == [("a", "ok", 1)]
+
+
+def test_locate_in_order(spark):
+    recs = spark.createDataFrame([("s1", 1, "Ley de aguas"), ("s1", 2, "Reforma fiscal"), ("s2", 1, "Vivienda digna"), ("s2", 2, "Salud pública"), ("s2", 3, "No hay"), ("s3", 1, None)], "g string, k bigint, title string")
+    docs = spark.createDataFrame([("s1", 7, "x"), ("s1", 9, "y"), ("s2", 4, "INICIATIVA DE SALUD PUBLICA"), ("s2", 5, "dictamen de vivienda digna y otros")], "g string, k bigint, text string")
+    assert rows(documents.locate_in_order(recs, docs, "g", "k", "title", "text")) == [("s1", 1, 7), ("s1", 2, 9), ("s2", 1, 5), ("s2", 2, 4), ("s2", 3, None), ("s3", 1, None)]
+
+
+def test_record_fields(spark):
+    from curul.functions import records
+
+    t = ["Licenciatura en Derecho por la Universidad Serrana", "Maestría en Letras, Instituto del Valle", "lic.", "Preparatoria", None]
+    got = [tuple(r.s) for r in spark.createDataFrame([(x,) for x in t], "t string").select(records.study("t").alias("s")).collect()]
+    assert got == [("Licenciatura", 2.0, "Derecho", "Universidad Serrana"), ("Maestría", 5.0, "Letras", "Instituto del Valle"), ("Licenciatura", 2.0, None, None), ("Bachillerato", 1.0, None, None), (None, None, None, None)]
+    p = ["+52 1 195 033 90 76", "01 (165) 949 07 52 ext. 3", "1515982299", "523-23-24", None]
+    assert [r.x for r in spark.createDataFrame([(x,) for x in p], "t string").select(records.phone_form("t").alias("x")).collect()] == ["195 033 9076", "165 949 0752", "151 598 2299", None, None]
+    n = ["Ana Ñuñez Paz", "Paz Zúñiga, Luis", "Dip. Eva de la Cruz Sol"]
+    assert [r.x for r in spark.createDataFrame([(x,) for x in n], "t string").select(records.surname_key("t").alias("x")).collect()] == ["n\uffffun\uffffez paz|ana", "paz zun\uffffiga|luis", "de la cruz sol|eva"]
+    r = spark.createDataFrame([(["Ana Paz", "ANA PAZ", "Eva"], "A. Uno Dos, Tres Cuatro y Cinco", 3)], "a array<string>, t string, n int")
+    x = r.select(records.distinct_folded(F.col("a")).alias("d"), records.people("t").alias("p")).first()
+    assert x.d == ["Ana Paz", "Eva"] and x.p == ["A. Uno Dos", "Tres Cuatro"]
+    assert records.with_defaults(r, {"n": F.lit(0), "z": F.lit("-")}).first().z == "-" and records.column_kind("Fecha de acta") == "date"
