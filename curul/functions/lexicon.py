@@ -193,7 +193,7 @@ class Catalog:
             if n is not None:
                 return [(0.0, n, "number")] if n in self.ids else []
             rest = text
-            while (m := re.match(r"\s*[(\[#]*\d{1,4}(?:\.0+)?\s*[.)\]:-]+[\s-]*(?=\D)", rest)) and len(rest) > m.end():
+            while (m := re.match(r"\s*(?:tema[\s:.]*)?[(\[#]*\d{1,4}(?:\.0+)?\s*[.)\]:-]+[\s-]*(?=\D)", rest, re.I)) and len(rest) > m.end():
                 rest = rest[m.end():]
             text = rest
         best: dict[int, tuple[float, str]] = {}
