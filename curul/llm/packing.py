@@ -152,13 +152,14 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacities: dict[int, int
     if any(c < 1 for c in capacities.values()):
         raise ValueError("capacities must be at least 1")
     spark = items.sparkSession
-    base = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(size_col), F.lit(0)).cast("bigint").alias("size"))
+    # sizes are counted once; two numbers an item are kept
+    base = cut(items.select(F.col(id_col).alias("id"), F.coalesce(F.col(size_col), F.lit(0)).cast("bigint").alias("size")))
     cap = F.array(*[F.struct(F.lit(k).cast("bigint").alias("cupo_id"), F.lit(c).cast("bigint").alias("cap")) for k, c in capacities.items()])
     each = base.select("id", "size", F.explode(cap).alias("c")).select("id", "size", "c.*")
     parts = F.greatest(F.lit(1), F.expr("(size + cap - 1) div cap"))
     piece = each.where("size > 0").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
     piece = piece.select("cupo_id", "id", "part", (F.col("part") * F.col("cap")).alias("token_from"), F.least(F.col("size"), (F.col("part") + 1) * F.col("cap")).alias("token_to"))
-    piece = cut(piece.withColumn("length", F.col("token_to") - F.col("token_from")))
+    piece = piece.withColumn("length", F.col("token_to") - F.col("token_from"))
     counts = piece.groupBy("cupo_id", "length").agg(F.count("*").alias("n")).toPandas()
     plans = {}
     for k, c in capacities.items():
