@@ -96,9 +96,10 @@ def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
     acts = table(spark, d, "actas_extraidas_ia").where("acta_id IS NOT NULL AND tema_1 IS NOT NULL").groupBy("acta_id", "tema_1").agg(F.count("*").alias("n"))
     topic = acts.groupBy("acta_id").agg(F.min(F.struct(-F.col("n"), "tema_1"))["tema_1"].alias("topic"))
     names = F.create_map(*[x for k, v in LANGUAGES.items() for x in (F.lit(k), F.lit(v))])
-    docs = table(spark, d, "documents").select("doc_id", "text", "source", names[F.lower(F.trim("lang"))].alias("language"), "acta_id", token_count(F.col("text")).alias("tokens"))
+    # the text itself goes no further than its digest and its length
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("digest"), "source", names[F.lower(F.trim("lang"))].alias("language"), "acta_id", token_count(F.col("text")).alias("tokens"))
     docs = docs.join(topic, "acta_id", "left")
-    return mix(docs, "doc_id", "text", "tokens", "source", {r["source"]: r["peso"] for r in rows}, {r["source"]: r["tope_repeticiones"] for r in rows}, "language", "topic").withColumnsRenamed({"id": "doc_id", "size": "tokens"})
+    return mix(docs, "doc_id", "digest", "tokens", "source", {r["source"]: r["peso"] for r in rows}, {r["source"]: r["tope_repeticiones"] for r in rows}, "language", "topic").withColumnsRenamed({"id": "doc_id", "size": "tokens"})
 
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
