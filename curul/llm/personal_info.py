@@ -67,6 +67,9 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|\n|\t")
 # The office that deputies are always named with.
 OFFICE = ("dip.", "dips.", "dip", "diputado", "diputada", "diputados", "diputadas")
 
+# Words that begin the names of laws, institutions and headings, never a personal name.
+NO_NAME_BEGINS = frozenset("ley código codigo reglamento estatuto comisión comision secretaría secretaria instituto dirección direccion universidad colegio oficialía oficialia registro procuraduría procuraduria junta organismo consejo fiscalía fiscalia auditoría auditoria contraloría contraloria ayuntamiento orden gaceta acta exposición exposicion versión version".split())
+
 
 def _left(text: str, at: int) -> tuple[str, str]:
     """Last two tokens before a place and the last of them that is no stop or colon, folded; ^ at a sentence's start."""
@@ -140,6 +143,8 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
             a, b = m.span() if m else (a, b)
         if not m or a and text[a - 1] in "«“\"'" or not free(a, b) or text[max(0, a - 12) : a].rstrip().lower().endswith(OFFICE):
             continue
+        if m.group().partition(" ")[0].lower() in NO_NAME_BEGINS:
+            continue
         t = TAIL.match(text, b)
         out.append(("run", a, b, "", *_left(text, a), "", m.group(), t.group(1) if t else ""))
     return out
