@@ -95,7 +95,9 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
                 yield pd.DataFrame({"id": b["id"], "keys": list(min_max_bands([np.asarray(x, np.int64) for x in b["h"]], common, weight, rare, bands, rows))})
 
     id_type = reps.schema["id"].dataType.simpleString()
-    signed = reps.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).mapInPandas(sign, f"id {id_type}, keys array<bigint>")
+    # hashing is the heavy step: it gets all tasks even where the rows are few bytes
+    hashed = reps.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    signed = hashed.mapInPandas(sign, f"id {id_type}, keys array<bigint>")
     band = signed.select("id", F.explode("keys").alias("key"))
     other = band.select(F.col("id").alias("other"), "key")
     proposed = band.join(other, "key").where("id < other").select("id", "other").distinct()
