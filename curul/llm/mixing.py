@@ -90,11 +90,15 @@ def mix(texts: DataFrame, id_col: str, text_col: str, size_col: str, source_col:
     aims = t.groupBy("source", "range").agg(F.sum("size").alias("t"), F.sum(F.col("p") * F.col("size")).alias("a"))
     w = Window.partitionBy("source")
     before = aims.select("source", "range", F.coalesce(F.sum("t").over(w.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), F.sum("a").over(w).alias("aim"))
+    placed = t.join(before, ["source", "range"])
+    # Only ranges that begin before the aim can be taken from; they are even parts of the texts drawn. What lies beyond,
+    # most of a large source, needs no order.
+    open_range = (F.col("p") > 0) & (F.col("start") < F.col("aim"))
     inside = F.sum("size").over(Window.partitionBy("source", "range").orderBy("x", "id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = t.withColumn("inside", inside).join(before, ["source", "range"])
     # a text is taken when its middle lies within the tokens aimed at
-    extra = ((F.col("p") > 0) & (F.col("start") + F.col("inside") + F.col("size") / 2 <= F.col("aim"))).cast("int")
-    return placed.withColumn("copies", F.col("whole") + extra).where("copies > 0").select("id", *keys, "size", "copies")
+    drawn = placed.where(open_range).withColumn("extra", (F.col("start") + inside + F.col("size") / 2 <= F.col("aim")).cast("int"))
+    rest = placed.where(~open_range & (F.col("whole") > 0)).withColumn("extra", F.lit(0))
+    return drawn.unionByName(rest).withColumn("copies", F.col("whole") + F.col("extra")).where("copies > 0").select("id", *keys, "size", "copies")
 
 
 def shares(mixed: DataFrame, targets: DataFrame, source_col: str, weight_col: str) -> DataFrame:
