@@ -2,40 +2,90 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curul.functions.similarity import dice, stems
+from curul.functions.similarity import stems
+from curul.plans.state import cut
+
+# Events and records that one task compares.
+BLOCK = 4096
+
+
+def candidate_links(events: DataFrame, event: str, event_day: str, event_text: str, records: DataFrame, record: str, record_day: str, record_text: str, least: float, block: int = BLOCK) -> DataFrame:
+    """(event, event_day, record, similarity): all pairs of an event and a record that isn't later, with stem similarity
+    (Dice) at or above ``least``.
 
+    Nothing else is asked of a pair. At low limits a filter by the rarest stems keeps nearly all pairs, so common stems
+    are counted instead: blocks of events meet blocks of records, and each record adds up the lists of events of its stems."""
+    side = lambda df, i, day, text: df.select(F.col(i).alias("i"), F.col(day).alias("day"), F.datediff(day, F.lit("1970-01-01").cast("date")).alias("at"), stems(F.col(text)).alias("stems"))
+    es, rs = cut(side(events, event, event_day, event_text)), cut(side(records, record, record_day, record_text))
+    n_e, n_r = (max(1, -(-df.count() // block)) for df in (es, rs))
+    hashed = lambda n: F.pmod(F.xxhash64("i"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = es.withColumn("be", hashed(n_e)).withColumn("br", every(n_r))
+    b = rs.drop("day").withColumn("br", hashed(n_r)).withColumn("be", every(n_e))
+    cols = [event, event_day, record, "similarity"]
 
-def candidate_links(events: DataFrame, records: DataFrame, on: list[str], event_day: str, record_day: str, event_text: str, record_text: str, least: float, days: int) -> DataFrame:
-    """Pairs of an event and a record of the same key, the record not later and at most so many days earlier, with their
-    stem similarity at or above ``least``. Stem arrays are computed once a row, before the join."""
-    from curul.operators.joins import band_join
+    def compare(e: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if not len(e) or not len(r):
+            return pd.DataFrame(columns=cols)
+        e = e.sort_values("at", kind="stable").reset_index(drop=True)
+        at, size = e["at"].to_numpy(), e["stems"].map(len).to_numpy()
+        codes, known = pd.factorize(np.concatenate(e["stems"].tolist()))
+        holders = np.repeat(np.arange(len(e)), size)[np.argsort(codes, kind="stable")]
+        lists = np.split(holders, np.cumsum(np.bincount(codes, minlength=len(known)))[:-1]) if len(known) else []
+        size_r = r["stems"].map(len).to_numpy()
+        found = pd.Index(known).get_indexer(np.concatenate(r["stems"].tolist())) if len(known) else np.full(size_r.sum(), -1)
+        ends, firsts = np.cumsum(size_r), np.searchsorted(at, r["at"].to_numpy())
+        who, which, how = [], [], []
+        for k, (end, n, first) in enumerate(zip(ends.tolist(), size_r.tolist(), firsts.tolist())):
+            mine = [lists[c] for c in found[end - n : end].tolist() if c >= 0]
+            if first == len(e) or not mine and least > 0:
+                continue
+            common = np.bincount(np.concatenate(mine), minlength=len(e))[first:] if mine else np.zeros(len(e) - first)
+            s = 2 * common / np.maximum(size[first:] + n, 1)
+            near = np.flatnonzero(s >= least)
+            who.append(near + first)
+            which.append(np.full(len(near), k))
+            how.append(s[near])
+        if not who:
+            return pd.DataFrame(columns=cols)
+        x, y = np.concatenate(who), np.concatenate(which)
+        return pd.DataFrame({event: e["i"].to_numpy()[x], event_day: e["day"].to_numpy()[x], record: r["i"].to_numpy()[y], "similarity": np.concatenate(how)}, columns=cols)
 
-    a = events.withColumn("__a", stems(F.col(event_text)))
-    b = records.withColumn("__b", stems(F.col(record_text)))
-    return band_join(a, b, on, event_day, record_day, days).withColumn("similarity", dice(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= least).drop("__a", "__b")
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = f"`{event}` {kind(events, event)}, `{event_day}` {kind(events, event_day)}, `{record}` {kind(records, record)}, similarity double"
+    return a.groupBy("be", "br").cogroup(b.groupBy("be", "br")).applyInPandas(compare, schema)
 
 
 def link_in_order(pairs: DataFrame, group: list[str], day: str, event: str, record: str, similarity: str) -> DataFrame:
-    """(group..., day, event, record, similarity): day by day, the best pairs first, each event and record once.
+    """(group..., day, event, record, similarity): day by day, the best pairs first, each event and record once a group.
 
-    A record linked on one day is gone on later days. Ties fall to the smaller event, then the smaller record. Only
-    candidate pairs are gathered, one group (a term) to a task; a group must fit a task, which the term bounds.
+    A record linked on one day is gone on later days. Ties fall to the smaller event, then the smaller record. Pairs are
+    sorted by Spark and read as they come, so a task holds what it has linked, not the pairs. An empty ``group`` is one
+    order over all pairs.
     """
     cols = [*group, day, event, record, similarity]
 
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        gone_e, gone_r, out = set(), set(), []
-        for row in pdf.sort_values([day, similarity, event, record], ascending=[True, False, True, True]).itertuples(index=False):
-            e, r = getattr(row, event), getattr(row, record)
-            if e not in gone_e and r not in gone_r:
-                gone_e.add(e)
-                gone_r.add(r)
-                out.append(tuple(getattr(row, c) for c in cols))
-        return pd.DataFrame(out, columns=cols)
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gone_e, gone_r, now = set(), set(), None
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False, name=None):
+                key, (e, r) = tuple(None if pd.isna(x) else x for x in row[: len(group)]), row[len(group) + 1 : len(group) + 3]
+                if key != now:
+                    gone_e, gone_r, now = set(), set(), key
+                if e not in gone_e and r not in gone_r:
+                    gone_e.add(e)
+                    gone_r.add(r)
+                    out.append(row)
+            yield pd.DataFrame(out, columns=cols)
 
     schema = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in cols)
-    return pairs.select(*cols).groupBy(*group).applyInPandas(link, schema)
+    together = pairs.select(*cols).repartition(*group) if group else pairs.select(*cols).repartition(1)
+    return together.sortWithinPartitions(*group, day, F.col(similarity).desc(), event, record).mapInPandas(link, schema)

@@ -634,13 +634,12 @@ def declared_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def vote_linkage(spark: SparkSession, d: str) -> DataFrame:
-    """Votes linked to earlier initiatives of like text, each once, in order of time within a term."""
+    """Votes linked to earlier initiatives of like text, each once, in order of time."""
     i = table(spark, d, "iniciativas_pa").select("registro_id", "descripcion", cal.any_date("fecha_pres").alias("day_i")).where("day_i IS NOT NULL AND descripcion IS NOT NULL")
-    v = table(spark, d, "votaciones").select("votacion_id", F.col("descripcion").alias("texto"), cal.any_date("fecha").alias("day_v")).where("day_v IS NOT NULL").distinct()
-    first = lambda c: F.substring(fold(F.element_at(F.split(F.col(c), " "), 1)), 1, 6)
-    p = candidate_links(v.withColumn("k", first("texto")), i.withColumn("k", first("descripcion")), ["k"], "day_v", "day_i", "texto", "descripcion", 0.3, 730)
-    p = p.select(cal.term_start("day_v").alias("term"), F.col("day_v").alias("day"), "votacion_id", "registro_id", "similarity")
-    return link_in_order(p, ["term"], "day", "votacion_id", "registro_id", "similarity").withColumn("day", F.col("day").cast("string"))
+    v = table(spark, d, "votaciones").select("votacion_id", F.col("descripcion").alias("texto"), cal.any_date("fecha").alias("day")).where("day IS NOT NULL").distinct()
+    p = candidate_links(v, "votacion_id", "day", "texto", i, "registro_id", "day_i", "descripcion", 0.3)
+    linked = link_in_order(p, [], "day", "votacion_id", "registro_id", "similarity")
+    return linked.select(cal.term_start("day").alias("term"), F.col("day").cast("string").alias("day"), "votacion_id", "registro_id", "similarity")
 
 
 @query()

@@ -104,6 +104,28 @@ def test_linkage_in_order(spark):
     assert rows(linkage.link_in_order(df, ["g"], "day", "e", "r", "s").select("e", "r")) == [(10, 102), (11, 100), (12, 101)]
 
 
+def test_candidate_links_are_all_pairs_not_later(spark):
+    from curul.functions.similarity import dice, stems
+
+    rng, vocabulary = random.Random(5), "punto acuerdo exhorta ley reforma agua becas caminos salud vivienda escuela museo pesca turismo".split()
+    text = lambda: " ".join(rng.sample(vocabulary, rng.randint(1, 9)))
+    v = [(k, f"20{rng.randint(10, 25)}-03-0{rng.randint(1, 3)}", text()) for k in range(40)] + [(90, "2025-01-01", "Acuerdo de becas rurales"), (91, "2025-01-01", None)]
+    i = [(k, f"20{rng.randint(10, 25)}-03-0{rng.randint(1, 3)}", text()) for k in range(60)] + [(90, "2015-01-01", "Punto de acuerdo de becas rurales"), (91, "2025-01-02", "Acuerdo de becas rurales"), (92, "2025-01-01", "")]
+    e = spark.createDataFrame(v, "e int, day string, t string").withColumn("day", F.to_date("day"))
+    r = spark.createDataFrame(i, "r int, d string, u string").withColumn("d", F.to_date("d"))
+    want = e.crossJoin(r).where("d <= day").withColumn("similarity", dice(stems(F.col("t")), stems(F.col("u")))).where("similarity >= 0.3")
+    for block in (4096, 16):
+        got = linkage.candidate_links(e, "e", "day", "t", r, "r", "d", "u", 0.3, block)
+        assert rows(got) == rows(want.select("e", "day", "r", "similarity"))
+    pairs = {(x[0], x[2]) for x in rows(got)}
+    assert (90, 90) in pairs and (90, 91) not in pairs
+
+
+def test_linked_records_are_gone_in_later_terms(spark):
+    df = spark.createDataFrame([("2020-01-01", 1, 100, 0.9), ("2024-01-01", 2, 100, 1.0), ("2024-01-01", 2, 101, 0.5)], "day string, e int, r int, s double")
+    assert rows(linkage.link_in_order(df, [], "day", "e", "r", "s").select("e", "r")) == [(1, 100), (2, 101)]
+
+
 def test_reconcile_and_lookups(spark):
     a, b = spark.createDataFrame([(1, 5), (2, None), (3, 7)], "k int, x int"), spark.createDataFrame([(1, 5), (2, None), (3, 8), (4, 1)], "k int, y int")
     assert {r.k: r.outcome for r in joins.reconcile(a, b, ["k"], "x", "y").collect()} == {1: "equal", 2: "equal", 3: "different", 4: "only_right"}
