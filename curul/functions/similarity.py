@@ -7,7 +7,9 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StringType
+
+from curul.functions.unicode_text import UNSTABLE, canonical
 
 # Words that titles share without meaning.
 TITLE_STOP = tuple("de la el los las del por que se en y a al con para un una su sus sobre lo como es o".split())
@@ -87,6 +89,16 @@ def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial_of(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf(StringType())
+def _canonical(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: canonical(x)[0])
+
+
+def canonical_form(c: Column) -> Column:
+    """The text in one consistent form of its characters; only texts that fail the quick-check are rewritten in Python."""
+    return F.coalesce(_canonical(F.when(c.rlike(UNSTABLE), c)), c)
+
+
 def title_similarity(a: Column, b: Column) -> Column:
     """The largest of sequence ratio, word Jaccard and nine tenths of word containment; 0 when either text is empty."""
     from curul.functions.cleaning import alnum_words

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from curul.functions import calendar as cal
 from curul.functions import classify, cleaning, records
 from curul.functions.numbers_es import WORDS, number_of, words_of
-from curul.functions.similarity import containment, dice, jaccard, stems, title_words
+from curul.functions.similarity import canonical_form, containment, dice, jaccard, stems, title_words
 from curul.functions.text import fold, words
 from curul.operators import aggregates as agg
 from curul.operators import documents as docs
@@ -661,7 +661,19 @@ def fuzzy_names(spark: SparkSession, d: str) -> DataFrame:
     WITH w AS (SELECT registro_id, list_filter({_SET.format('titulo')}, lambda x: length(x) > 2) AS a, list_filter({_SET.format('tema')}, lambda x: length(x) > 2) AS b FROM actas_extraidas_ia WHERE titulo IS NOT NULL AND tema IS NOT NULL AND regexp_full_match(titulo, '[ -~áéíóúüñÁÉÍÓÚÜÑ«»“”…º°ª²½—]*'))
     SELECT registro_id, coalesce(len(list_intersect(a, b)) / nullif(len(list_distinct(list_concat(a, b))), 0), 0) AS jaccard, coalesce(len(list_intersect(a, b)) / nullif(least(len(a), len(b)), 0), 0) AS containment FROM w""")
 def set_similarities(spark: SparkSession, d: str) -> DataFrame:
+    """The titles that SQL can fold; ``set_similarities_all`` has all of them."""
     r = table(spark, d, "actas_extraidas_ia").where("titulo IS NOT NULL AND tema IS NOT NULL").where(F.col("titulo").rlike("^[ -~áéíóúüñÁÉÍÓÚÜÑ«»“”…º°ª²½—]*$"))
+    return _set_similarities(r)
+
+
+@query()
+def set_similarities_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every title with its topic, characters out of place first brought to one form."""
+    r = table(spark, d, "actas_extraidas_ia").where("titulo IS NOT NULL AND tema IS NOT NULL")
+    return _set_similarities(r.select("registro_id", canonical_form(F.col("titulo")).alias("titulo"), canonical_form(F.col("tema")).alias("tema")))
+
+
+def _set_similarities(r: DataFrame) -> DataFrame:
     long = lambda c: F.filter(words(c), lambda w: F.length(w) > 2)
     r = r.select("registro_id", long("titulo").alias("a"), long("tema").alias("b"))
     return r.select("registro_id", jaccard(F.col("a"), F.col("b")).alias("jaccard"), containment(F.col("a"), F.col("b")).alias("containment"))

@@ -120,3 +120,22 @@ def test_names():
     assert is_body("Ayto. de Queltzaro") and is_body("JCAP") and not is_body("Irma Quequecul Yocul")
     assert same_body(["junta", "conduccion", "acuerdos"], ["junta", "acuerdos", "politicos", "conduccion"]) and not same_body(["ayuntamiento", "tolmacan"], ["ayuntamiento", "queltzaro"])
     assert levenshtein("abc", "acb") == 2 and levenshtein("abc", "xyz", 1) == 2
+
+
+def test_set_similarities_of_titles_with_odd_characters(spark, tmp_path):
+    import re
+    import unicodedata as ud
+
+    from curul.functions.unicode_text import fold
+    from curul.queries import set_similarities_all
+
+    odd = ["Vivi\u200benda digna y obras", "\uff36\uff49\uff56\uff49\uff45\uff4e\uff44\uff41 digna", "Viviend\u0430 dign\u0430", "Educacio\u0301n ba\u0301sica", "Vivienda\u00a0digna", "Educación básica", "", "12 ½ ²"]
+    data = [(k * 10 + n, t, o) for k, t in enumerate(odd) for n, o in enumerate(["Vivienda digna", "Educación básica y superior", "de la"])] + [(900, None, "x"), (901, "x", None)]
+    spark.createDataFrame(data, "registro_id bigint, titulo string, tema string").write.parquet(str(tmp_path / "actas_extraidas_ia.parquet"))
+    split = lambda t: {w for w in re.findall(r"\w+", "".join(c if ud.category(c)[0] == "L" or ud.category(c) == "Nd" else " " for c in fold(t))) if len(w) > 2}
+    want = {}
+    for i, t, o in data[:-2]:
+        a, b = split(t), split(o)
+        want[i] = (len(a & b) / len(a | b) if a | b else 0.0, len(a & b) / min(len(a), len(b)) if a and b else 0.0)
+    assert {r.registro_id: (r.jaccard, r.containment) for r in set_similarities_all(spark, str(tmp_path)).collect()} == want
+    assert all(want[k][1] == 1.0 for k in (0, 10, 20, 31, 40, 51))
