@@ -138,8 +138,14 @@ def document_id(url: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(url, r"acta_(\d+)", 1), F.lit("")), F.nullif(F.regexp_extract(url, r"[?&]id=(\d+)", 1), F.lit("")))
 
 
-def topic_of(committees: Column, topics: dict[str, int]) -> Column:
-    """The topic of the first committee in an array that the table knows, folded, without "comision de"; else null."""
+def topic_of(committees: Column, topics: dict[str, int], beginnings: dict[str, int] | None = None) -> Column:
+    """The topic of the first committee in an array that the table knows, folded, without "comision de"; else null.
+    ``beginnings`` are topics of committees that begin so, for those that the table lacks."""
     table = F.create_map(*[x for k, v in topics.items() for x in (F.lit(fold_text(k)), F.lit(v))])
-    known = F.filter(F.transform(committees, lambda c: table[F.trim(F.regexp_replace(fold(c), r"^(?:comision|comite) (?:de )?(?:la |las |los )?", ""))]), lambda t: t.isNotNull())
+
+    def one(c: Column) -> Column:
+        k = F.trim(F.regexp_replace(fold(c), r"^(?:comision|comite) (?:de )?(?:la |las |los )?", ""))
+        return F.coalesce(table[k], *[F.when(k.startswith(fold_text(b)), v) for b, v in (beginnings or {}).items()])
+
+    known = F.filter(F.transform(committees, one), lambda t: t.isNotNull())
     return F.get(known, F.lit(0))

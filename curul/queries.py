@@ -733,11 +733,32 @@ def line_predicate(spark: SparkSession, d: str) -> DataFrame:
         list_filter(list_transform([c1, c2, c3], lambda x: CASE lower(strip_accents(trim(x))) WHEN 'vivienda digna' THEN 11 WHEN 'asuntos electorales' THEN 4 WHEN 'pesca y acuacultura' THEN 12 END), lambda t: t IS NOT NULL)[1] AS topic
     FROM iniciativas_pa WHERE coalesce(lower(strip_accents(c1)), '') NOT LIKE 'comi%' AND coalesce(lower(strip_accents(c2)), '') NOT LIKE 'comi%'""")
 def topic_by_committee(spark: SparkSession, d: str) -> DataFrame:
+    """Three topics of committees written without heading; ``topic_by_committee_all`` has all."""
     t = records.topic_of(F.array("c1", "c2", "c3"), {"Vivienda Digna": 11, "Asuntos Electorales": 4, "Pesca y Acuacultura": 12})
     r = table(spark, d, "iniciativas_pa").where(~F.coalesce(fold("c1"), F.lit("")).like("comi%") & ~F.coalesce(fold("c2"), F.lit("")).like("comi%"))
     return r.select("registro_id", t.isNotNull().alias("known"), t.alias("topic"))
 
 
+# The topic of each committee, the most frequent one of the records with both written as in their lists.
+COMMITTEE_TOPICS = {
+    "Hacienda Pública y Cuenta Municipal": 7, "Presupuesto, Deuda y Financiamiento": 7, "Salud y Asistencia Médica": 6, "Educación Básica y Superior": 8, "Cultura Popular y Artesanías": 8, "Ciencia, Innovación y Humanidades": 8, "Medio Natural y Acción Climática": 5, "Bosques, Aguas y Suelos": 5,
+    "Desarrollo Rural Integral": 12, "Desarrollo Urbano y Ordenamiento": 11, "Desarrollo Económico y Fomento Industrial": 1, "Turismo y Hospitalidad": 1, "Comercio y Mercados Públicos": 1, "Vivienda Digna": 11, "Caminos, Puentes y Obras": 11, "Transporte y Movilidad Segura": 11,
+    "Gobernación y Asuntos Constitucionales": 14, "Impartición de Justicia": 14, "Derechos Humanos y Víctimas": 14, "Seguridad Ciudadana": 3, "Protección Civil y Bomberos": 3, "Sistema Penitenciario": 3, "Asuntos Electorales": 4, "Partidos y Consultas Populares": 4,
+    "Igualdad Sustantiva y Mujeres": 20, "Prevención de Violencia contra las Mujeres": 20, "Niñez y Adolescencia": 2, "Juventudes y Deporte": 8, "Personas Adultas Mayores": 2, "Personas con Discapacidad": 2, "Pueblos Originarios y Lenguas": 2, "Migrantes y Enlace Internacional": 9,
+    "Trabajo y Seguridad Social": 16, "Transparencia y Datos Abiertos": 10, "Fiscalización y Combate a la Corrupción": 10, "Ganadería y Apicultura": 12, "Pesca y Acuacultura": 12, "Radio, Prensa y Difusión": 13, "Redes Digitales y Conectividad": 15, "Administración y Servicio Público": 18,
+    "Asuntos Municipales y Metropolitanos": 18, "Adquisiciones y Arrendamientos": 18, "Reglamento y Prácticas Parlamentarias": 19, "Crónica, Biblioteca y Archivo": 19,
+}
+
+
+@query()
+def topic_by_committee_all(spark: SparkSession, d: str, topics: dict[str, int] = COMMITTEE_TOPICS) -> DataFrame:
+    """The topic of every record by its committees, with or without heading: that of the penal code where the text names
+    it, else of the first committee that has one."""
+    t = records.topic_of(F.array("c1", "c2", "c3", "c4", "c5", "c6"), topics, {"agenda 2030": 5})
+    t = F.when(fold("descripcion").contains("codigo penal"), 14).otherwise(t)
+    return table(spark, d, "iniciativas_pa").select("registro_id", t.isNotNull().alias("known"), t.alias("topic"))
+
+
 @query("""
     SELECT legislatura, min(try_strptime(fecha_pres, '%d/%m/%y'))::DATE::VARCHAR AS oldest, max(length(descripcion))::INT AS longest, max(len(list_filter([c1, c2, c3, c4, c5, c6], lambda x: x IS NOT NULL)))::INT AS most_slots FROM iniciativas_pa GROUP BY 1""")
 def extremes(spark: SparkSession, d: str) -> DataFrame:

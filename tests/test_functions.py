@@ -139,3 +139,13 @@ def test_set_similarities_of_titles_with_odd_characters(spark, tmp_path):
         want[i] = (len(a & b) / len(a | b) if a | b else 0.0, len(a & b) / min(len(a), len(b)) if a and b else 0.0)
     assert {r.registro_id: (r.jaccard, r.containment) for r in set_similarities_all(spark, str(tmp_path)).collect()} == want
     assert all(want[k][1] == 1.0 for k in (0, 10, 20, 31, 40, 51))
+
+
+def test_topic_by_committee_of_all_records(spark, tmp_path):
+    from curul.queries import COMMITTEE_TOPICS, topic_by_committee_all
+
+    c = [("COMISIÓN DE Vivienda digna", None), ("Comision Impartición de Justicia", None), ("Comité de la Vivienda Digna", "Pesca y Acuacultura"), ("Ninguna", "Comisión de Pesca y Acuacultura"), ("Agenda 2030 y convenios", None), (None, None), ("Turismo y Hospitalidad", None)]
+    data = [(k, "Reforma el Código Penal" if k == 6 else "x", a, b, None, None, None, "Vivienda Digna" if k == 5 else None) for k, (a, b) in enumerate(c)]
+    spark.createDataFrame(data, "registro_id bigint, descripcion string, c1 string, c2 string, c3 string, c4 string, c5 string, c6 string").write.parquet(str(tmp_path / "iniciativas_pa.parquet"))
+    assert [r.topic for r in topic_by_committee_all(spark, str(tmp_path)).orderBy("registro_id").collect()] == [11, 14, 11, 12, 5, 11, 14]
+    assert len(COMMITTEE_TOPICS) == 44
