@@ -235,6 +235,13 @@ def test_locate_in_order(spark):
     assert rows(documents.locate_in_order(recs, docs, "g", "k", "title", "text")) == [("s1", 1, 7), ("s1", 2, 9), ("s2", 1, 5), ("s2", 2, 4), ("s2", 3, None), ("s3", 1, None)]
 
 
+def test_locate_titles_after_a_long_letterhead(spark):
+    head = "C. Diputados integrantes de la Mesa Directiva, calle y número. " * 30
+    recs = spark.createDataFrame([("s", 1, "Salud pública"), ("s", 2, "Vivienda digna"), ("s", 3, "No hay")], "g string, k bigint, title string")
+    docs = spark.createDataFrame([("s", 4, head + "INICIATIVA DE SALUD PUBLICA" + head), ("s", 5, head + "Dictamen de viviendas digna" + head)], "g string, k bigint, text string")
+    assert rows(documents.locate_in_order(recs, docs, "g", "k", "title", "text")) == [("s", 1, 4), ("s", 2, 5), ("s", 3, None)]
+
+
 def test_record_fields(spark):
     from curul.functions import records
 
