@@ -41,11 +41,12 @@ class Trie:
                 self.below[at][entry] = min(penalty, self.below[at].get(entry, 9.0))
         self.ends[at].append((entry, penalty))
 
-    def search(self, query: str, k: int, prefixes_from: int = 0) -> list[tuple[float, int, str]]:
+    def search(self, query: str, k: int, prefixes_from: int = 0, beginning: bool = False) -> list[tuple[float, int, str]]:
         """All (cost, entry, how) whose text is within k edits of the query; adjacent exchange counts as one edit.
 
         With ``prefixes_from`` > 0 a query of at least that length also matches an inner node under which a single
-        entry lies (the typed value stops before the entry does).
+        entry lies (the typed value stops before the entry does). With ``beginning`` the answer is one place, or none,
+        at which a text begins with something within k edits of the query.
         """
         n = len(query)
         mask: dict[str, int] = {}
@@ -60,6 +61,8 @@ class Trie:
         while stack:
             node, rows, swaps, last = stack.pop()
             best = next((j for j, r in enumerate(rows) if r & goal), None)
+            if best is not None and beginning:
+                return [(float(best), -1, "beginning")]
             if best is not None:
                 found += [(best + p, e, "entry" if p == 0 else "alias") for e, p in self.ends[node]]
                 if prefixes_from and n >= prefixes_from and node and self.next[node] and self.below[node]:
@@ -154,12 +157,13 @@ class Catalog:
         return " ".join(ws)
 
     def _expand(self, text: str) -> list[str]:
-        """Readings of a typed value in which short forms are written out by the words of the list."""
+        """All readings of a typed value in which short forms are written out by the words of the list, less such as are
+        beyond the distance from every text of the list by their beginning."""
         t = re.sub(r"[&/+]", " y ", fold(text))
         dotted = {w for w in re.findall(r"([a-z]+)\.", t)}
         words = self.key(text).split()
-        out = [[]]
-        for n, w in enumerate(words):
+        ways: list[list[str]] = []
+        for w in words:
             if w in self.words:
                 opts = [w]
             elif w in CONTRACTIONS and CONTRACTIONS[w] in self.words:
@@ -175,8 +179,14 @@ class Catalog:
                 opts = [w]
             if w not in self.words and w not in dotted and (w in _HEADS or len(w) <= 5 and _like_link(w)):
                 opts = [*opts, ""]
-            out = [o + [x] for o in out for x in opts[:6]][:64]
-        return [" ".join(x for x in o if x) for o in out]
+            ways.append(list(dict.fromkeys(opts)))
+        k = edits_allowed(sum(max(map(len, opts)) + 1 for opts in ways) - 1)
+        out = [""]
+        for opts in ways:
+            out = list(dict.fromkeys(f"{o} {x}".strip() for o in out for x in opts))
+            if len(out) > 64:  # those that no text of the list begins like can't come near one
+                out = [o for o in out if self.trie.search(o, k, beginning=True)]
+        return out
 
     def number(self, text: str) -> int | None:
         m = re.fullmatch(r"[\s(\[#]*(?:tema|no|num)?[.:\s]*0*(\d{1,4})(?:\.0+)?[\s.)\]-]*", fold(text))

@@ -149,3 +149,12 @@ def test_topic_by_committee_of_all_records(spark, tmp_path):
     spark.createDataFrame(data, "registro_id bigint, descripcion string, c1 string, c2 string, c3 string, c4 string, c5 string, c6 string").write.parquet(str(tmp_path / "iniciativas_pa.parquet"))
     assert [r.topic for r in topic_by_committee_all(spark, str(tmp_path)).orderBy("registro_id").collect()] == [11, 14, 11, 12, 5, 11, 14]
     assert len(COMMITTEE_TOPICS) == 44
+
+
+def test_short_forms_with_many_readings():
+    letters = "abcdefghijklmnop"
+    names = [f"Obras m{x * 6}a y s{x * 6}r t{x * 6}s" for x in letters]
+    c = Catalog(list(enumerate(names)))
+    assert {i for _, i, _ in c.near("Obras m. y sppppppr tpppppps")} == {15}
+    assert {i for _, i, _ in c.near("Obras m. s. t.")} == set(range(16))
+    assert c.near("Zzzzz m. s. t.") == []
