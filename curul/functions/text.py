@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 # Latin letters with marks and their base letter, by rule: one base letter plus combining marks.
 _PAIRS = [(c, d[0]) for c in map(chr, range(0xC0, 0x250)) if (d := ud.normalize("NFD", c)) != c and len(ud.normalize("NFC", d)) == 1]
-_FROM, _TO = "".join(a for a, _ in _PAIRS), "".join(b for _, b in _PAIRS)
+ACCENTED, UNACCENTED = "".join(a for a, _ in _PAIRS), "".join(b for _, b in _PAIRS)
 
 
 def strip_accents(c: Column | str) -> Column:
     """Without combining marks, whether separate or part of the letter; ñ becomes n. Null stays null."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.translate(c, _FROM, _TO), r"\p{M}+", "")
+    return F.regexp_replace(F.translate(c, ACCENTED, UNACCENTED), r"\p{M}+", "")
 
 
 def fold(c: Column | str) -> Column:

@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set only where the session names none (tests)."""
+    """The session's checkpoint folder.
+
+    Where the session names none, a temporary one is set if there is but one machine (tests); on a cluster that would be
+    a folder the other machines can't read, so it raises.
+    """
     sc = spark.sparkContext
     now = sc._jsc.sc().getCheckpointDir()
     if now.isDefined():
         return now.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="curul-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -22,3 +29,11 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared folder; a lost executor costs no recomputation of what led here."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As ``cut``, as a compressed table of columns in the shared folder: for wide rows of which later steps read parts."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
