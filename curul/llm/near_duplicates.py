@@ -1,33 +1,66 @@
 """Near-duplicate records by weighted min-max hashing.
 
 Every permutation gives two signature values: the word that comes first and the word that comes last under it, so a
-signature of 2P values costs P hash evaluations. Words are weighted by how rare they are (an exponential race in
-place of a plain permutation): the chance that two records share a value is their weighted similarity, which stays
-high for edited copies and near zero for records that only share the phrases all records have. Bands of values
-propose pairs; the plain Jaccard similarity of the whole word sets decides. With six values to a band, the pairs that
-unrelated records add stay far below the true ones up to millions of records.
+signature of 2P values costs P hash evaluations. Words that many records have weigh less (an exponential race in place
+of a plain permutation): the chance that two records share a value is their weighted similarity, which stays high for
+edited copies and near zero for records that only share the phrases all records have.
+
+Bands of values propose pairs; one bit of each of 64 further uses of the values, carried beside the band keys, turns
+away most pairs that merely met by chance; the plain Jaccard similarity of the whole word sets decides. Each record is
+signed once and its band keys are shuffled once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import regex
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curul.functions.text import words
+from curul.functions.text import ACCENTED, UNACCENTED
 from curul.operators.components import connected_components
-from curul.plans.state import cut
-
-#: Bands of ROWS values each; BANDS * ROWS values need half as many permutations.
-BANDS, ROWS = 96, 6
-#: A word in at least this share of the records counts as common. Records have some 50 words, so there are at most
-#: 50 / COMMON_SHARE common words, which bounds the list sent to the workers whatever the size of the collection.
-COMMON_SHARE = 1e-3
-#: Records added in thought when weighting words, so that in a small collection all words weigh nearly the same.
+from curul.plans.state import cut, stored
+
+#: Bands of ROWS values each; BANDS * ROWS values need half as many permutations. With five values to a band the pairs
+#: that unrelated records add are as many as the true ones at some hundred thousand records of the kind measured here;
+#: the sketch turns most of them away. Collections of billions want more values to a band, and more bands.
+BANDS, ROWS = 60, 5
+#: A word weighs minus the logarithm of the share of records that have it, LEAST_WEIGHT at least; all words below this
+#: share weigh the same. Words at or above it are sent to the workers.
+COMMON_SHARE, LEAST_WEIGHT = 0.15, 0.25
+#: Records added in thought when taking shares, so that words of a handful of records don't count as common. Beyond some
+#: ten thousand records it no longer shows, and weights depend on the shares alone, whatever the size.
 PRIOR_RECORDS = 1000
+#: A common word also makes up at least this part of all word occurrences, so there are never more common words than
+#: this. It matters only where records have over 2,000 words on average (MOST_COMMON * COMMON_SHARE).
+MOST_COMMON = 20_000
+#: Of 64 sketch bits, those that must agree: unrelated records agree in 34 give or take 4, similar ones in 50 or more.
+SKETCH_AGREE = 42
+#: Records of one bucket that are paired within one row; larger buckets are split into blocks of so many.
+BLOCK = 256
+
+_ASCII_WORD, _WORD, _MARKS = re.compile(r"[a-z0-9]+"), regex.compile(r"[\p{L}\p{Nd}]+"), regex.compile(r"\p{M}+")
+_PLAIN = str.maketrans(ACCENTED, UNACCENTED)
+
+
+def word_set(text: str) -> list[str]:
+    """The distinct runs of letters and digits of a text in lower case without accents, sorted."""
+    t = text.lower()
+    if not t.isascii():
+        t = t.translate(_PLAIN)
+        t = t if t.isascii() else _MARKS.sub("", t)
+    return sorted(set((_ASCII_WORD if t.isascii() else _WORD).findall(t)))
+
+
+@lru_cache(maxsize=1_000_000)
+def word_id(word: str) -> int:
+    return xxhash.xxh64_intdigest(word)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -36,8 +69,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def min_max_bands(word_ids: list[np.ndarray], common_ids: np.ndarray, common_weights: np.ndarray, rare_weight: float, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Band keys, one row per record (none of them empty). ``common_ids`` sorted."""
+def min_max_signature(word_ids: list[np.ndarray], common_ids: np.ndarray, common_weights: np.ndarray, rare_weight: float, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """(band keys, 64 sketch bits) of records, none of them empty. Word ids are uint64; ``common_ids`` sorted."""
     sizes = np.fromiter((len(w) for w in word_ids), np.int64, len(word_ids))
     flat = np.concatenate(word_ids)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -47,21 +80,54 @@ def min_max_bands(word_ids: list[np.ndarray], common_ids: np.ndarray, common_wei
         at = np.minimum(np.searchsorted(common_ids, vocab), len(common_ids) - 1)
         hit = common_ids[at] == vocab
         weight[hit] = common_weights[at[hit]]
-    base = vocab.view(np.uint64)
-    values = []
+    n = len(word_ids)
+    keys, sketch = np.empty((n, bands), np.uint64), np.zeros(n, np.uint64)
+    key, in_key, band, used = np.full(n, 1, np.uint64), 0, 0, 0
     with np.errstate(over="ignore"):
-        for p in range((bands * rows + 1) // 2):
-            u = (_mix(base + np.uint64(0x9E3779B97F4A7C15) * np.uint64(p + 1)) >> np.uint64(11)).astype(np.float64)
+        for p in range(max((bands * rows + 1) // 2, 32)):
+            u = (_mix(vocab + np.uint64(0x9E3779B97F4A7C15) * np.uint64(p + 1)) >> np.uint64(11)).astype(np.float64)
             u = (u + 0.5) / 2.0**53
             for race in (-np.log(u) / weight, -np.log1p(-u) / weight):
-                values.append(np.minimum.reduceat(race[where], starts).view(np.uint64))
-        keys = np.empty((len(word_ids), bands), np.int64)
-        for b in range(bands):
-            k = np.full(len(word_ids), b + 1, np.uint64)
-            for v in values[b * rows : (b + 1) * rows]:
-                k = _mix(k * np.uint64(0x9E3779B97F4A7C15) + v)
-            keys[:, b] = k.view(np.int64)
-    return keys
+                v = np.minimum.reduceat(race[where], starts).view(np.uint64)
+                if used < 64:
+                    sketch |= (_mix(v) & np.uint64(1)) << np.uint64(used)
+                used += 1
+                if band < bands:
+                    key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + v)
+                    in_key += 1
+                    if in_key == rows:
+                        keys[:, band] = key
+                        band += 1
+                        key, in_key = np.full(n, band + 1, np.uint64), 0
+    return keys, sketch
+
+
+def _agree(a: str | Column, b: str | Column) -> Column:
+    return F.lit(64) - F.bit_count((F.col(a) if isinstance(a, str) else a).bitwiseXOR(F.col(b) if isinstance(b, str) else b))
+
+
+def bucket_pairs(band: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b, each pair of ids (column ``id``) once that meet under a ``key`` and whose ``sketch`` bits agree.
+
+    One shuffle brings the ids of a key together. A bucket of up to ``block`` ids is paired as its rows pass by; the rows
+    of a larger one are split into blocks, and each block is joined with the later rows, so no task has a whole hot
+    bucket's pairs and none are dropped.
+    """
+    own = Window.partitionBy("key").orderBy("id")
+    b = band.withColumns({"at": F.row_number().over(own) - 1, "n": F.count("*").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}).where("n > 1")
+    b = b.withColumn("before", F.when(F.col("n") <= block, F.collect_list(F.struct("id", "sketch")).over(own.rowsBetween(-block, -1))))
+    met = F.filter("before", lambda o: _agree(o["sketch"], "sketch") >= SKETCH_AGREE)
+    nobody = F.lit(None).cast(band.schema["id"].dataType)
+    b = b.withColumn("other", F.explode(F.when(F.col("n") <= block, F.transform(met, lambda o: o["id"])).otherwise(F.array(nobody))))
+    # pairs of small buckets, and the rows of large ones
+    hot = F.col("other").isNull()
+    b = stored(b.select(F.col("other").alias("a"), "id", F.when(hot, F.col("key")).alias("key"), F.when(hot, F.col("sketch")).alias("sketch"), F.when(hot, F.floor(F.col("at") / block)).alias("block")))
+    small = b.where("a IS NOT NULL").select("a", F.col("id").alias("b"))
+    large = b.where("a IS NULL")
+    left = large.select("key", "block", F.col("id").alias("a"), F.col("sketch").alias("s"))
+    right = large.select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), "block")).alias("block"), F.col("id").alias("b"), "sketch")
+    split = left.join(right, ["key", "block"]).where("a < b").where(_agree("s", "sketch") >= SKETCH_AGREE).select("a", "b")
+    return small.unionByName(split).distinct()
 
 
 def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: float, least_words: int = 8, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -72,49 +138,51 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
     Null texts and texts under ``least_words`` distinct words take no part. Ids must be unique and sortable.
     """
     spark = records.sparkSession
-    sets = records.select(F.col(id_col).alias("id"), F.array_sort(words(text_col)).alias("words")).where(F.size("words") >= least_words)
-    # the texts are split into words once; two hashes of 64 and 32 bits stand for the word set while grouping
-    keyed = cut(sets.select("id", F.xxhash64(F.concat_ws(" ", "words")).alias("k1"), F.hash(F.concat_ws("|", "words")).alias("k2"), "words"))
-    rep = keyed.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-    members = cut(keyed.select("id", "k1", "k2").join(rep, ["k1", "k2"]).select("id", "rep"))
-    reps = keyed.select("id", "words").join(members.where("id = rep").select("id"), "id")
-    reps = cut(reps.withColumn("small", F.array_sort(F.array_distinct(F.transform("words", lambda w: F.hash(w))))))
-
-    n = reps.count()
-    tops = reps.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("df")).where(F.col("df") >= max(2.0, COMMON_SHARE * n))
-    tops = tops.select(F.xxhash64("w").alias("h"), "df").toPandas().sort_values("h")
-    ids = tops["h"].to_numpy(np.int64)
-    rare = float(np.log((n + PRIOR_RECORDS) / max(1.0, COMMON_SHARE * n)))
-    weights = np.clip(np.log((n + PRIOR_RECORDS) / tops["df"].to_numpy(np.float64)), 0.02, rare)
-    shared = spark.sparkContext.broadcast((ids, weights))
+    id_type = records.schema[id_col].dataType.simpleString()
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, t in zip(b["id"], b["text"]):
+                w = word_set(t)
+                if len(w) >= least_words:
+                    s = " ".join(w)
+                    d = xxhash.xxh3_128_digest(s)
+                    out.append((i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), s))
+            yield pd.DataFrame(out, columns=["id", "k1", "k2", "words"])
+
+    # texts are split into words once; 128 bits stand for the word set while grouping
+    texts = records.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL AND id IS NOT NULL")
+    sets = stored(texts.mapInPandas(split, f"id {id_type}, k1 bigint, k2 bigint, words string"))
+    reps = stored(sets.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.min("words").alias("words")))
+    members = sets.select("id", "k1", "k2").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "rep")
+
+    n, occurrences = reps.agg(F.count("*"), F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0))).first()
+    word = reps.select(F.explode(F.split("words", " ")).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    common = word.where(F.col("df") >= max(COMMON_SHARE * (n + PRIOR_RECORDS), occurrences / MOST_COMMON)).toPandas()
+    common["id"] = np.array([word_id(w) for w in common["w"]], np.uint64)
+    common = common.sort_values("id")
+    rare = -float(np.log(COMMON_SHARE))
+    weights = np.clip(-np.log(common["df"].to_numpy(np.float64) / (n + PRIOR_RECORDS)), LEAST_WEIGHT, rare)
+    shared = spark.sparkContext.broadcast((common["id"].to_numpy(np.uint64), weights))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common, weight = shared.value
+        ids, weight = shared.value
         for b in batches:
             if len(b):
-                yield pd.DataFrame({"id": b["id"], "keys": list(min_max_bands([np.asarray(x, np.int64) for x in b["h"]], common, weight, rare, bands, rows))})
-
-    id_type = reps.schema["id"].dataType.simpleString()
-    # hashing is the heavy step: it gets all tasks even where the rows are few bytes
-    hashed = reps.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    signed = hashed.mapInPandas(sign, f"id {id_type}, keys array<bigint>")
-    band = signed.select("id", F.explode("keys").alias("key"))
-    other = band.select(F.col("id").alias("other"), "key")
-    proposed = band.join(other, "key").where("id < other").select("id", "other").distinct()
-
-    def share(x: str, y: str) -> Column:
-        common = F.size(F.array_intersect(x, y))
-        return common / (F.size(x) + F.size(y) - common)
-
-    # first by 32-bit hashes of the words, which are an eighth of the bytes; what comes near by the words themselves
-    near = proposed.join(reps.select("id", "small"), "id").join(reps.select(F.col("id").alias("other"), F.col("small").alias("smalls")), "other")
-    near = near.where(share("small", "smalls") >= threshold - 0.02).select("id", "other")
+                keys, sketch = min_max_signature([np.fromiter(map(word_id, s.split(" ")), np.uint64) for s in b["words"]], ids, weight, rare, bands, rows)
+                yield pd.DataFrame({"id": b["id"], "keys": list(keys.view(np.int64)), "sketch": sketch.view(np.int64)})
+
+    signed = reps.select(F.col("rep").alias("id"), "words").mapInPandas(sign, f"id {id_type}, keys array<bigint>, sketch bigint")
+    near = bucket_pairs(signed.select("id", "sketch", F.explode("keys").alias("key")))
+
+    common_words = F.size(F.array_intersect("x", "y"))
     links = (
-        near.join(reps.select("id", "words"), "id")
-        .join(reps.select(F.col("id").alias("other"), F.col("words").alias("others")), "other")
-        .withColumn("similarity", share("words", "others"))
+        near.join(reps.select(F.col("rep").alias("a"), F.split("words", " ").alias("x")), "a")
+        .join(reps.select(F.col("rep").alias("b"), F.split("words", " ").alias("y")), "b")
+        .withColumn("similarity", common_words / (F.size("x") + F.size("y") - common_words))
         .where(F.col("similarity") >= threshold)
-        .select(F.col("id").alias("rep_a"), F.col("other").alias("rep_b"), "similarity")
+        .select(F.col("a").alias("rep_a"), F.col("b").alias("rep_b"), "similarity")
     )
     return members, links
 
@@ -122,7 +190,7 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
 def near_duplicate_pairs(records: DataFrame, id_col: str, text_col: str, threshold: float, least_words: int = 8) -> DataFrame:
     """(id_a, id_b, similarity) of every pair of records at or above the threshold, copies included."""
     members, links = similar_texts(records, id_col, text_col, threshold, least_words)
-    links = cut(links)
+    members, links = cut(members), cut(links)
     a = members.select(F.col("rep").alias("rep_a"), F.col("id").alias("x"))
     b = members.select(F.col("rep").alias("rep_b"), F.col("id").alias("y"))
     across = links.join(a, "rep_a").join(b, "rep_b").select("x", "y", "similarity")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curul.functions.text import words
-from curul.llm.near_duplicates import min_max_bands, near_duplicate_classes, near_duplicate_pairs
+from curul.llm.near_duplicates import bucket_pairs, min_max_signature, near_duplicate_classes, near_duplicate_pairs, word_set
 
 
 def make(rng, n=120):
@@ -69,7 +69,44 @@ def test_empty_and_long(spark):
 
 def test_share_of_equal_values_is_the_weighted_similarity():
     rng = np.random.default_rng(1)
-    a, b = rng.integers(0, 1 << 60, 60), rng.integers(0, 1 << 60, 20)
+    a, b = rng.integers(0, 1 << 60, 60).astype(np.uint64), rng.integers(0, 1 << 60, 20).astype(np.uint64)
     x, y = np.concatenate([a, b[:10]]), np.concatenate([a, b[10:]])
-    k = min_max_bands([x, y], np.array([], np.int64), np.array([]), 5.0, bands=4000, rows=1)
+    k, s = min_max_signature([x, y, x], np.array([], np.uint64), np.array([]), 5.0, bands=4000, rows=1)
     assert (k[0] == k[1]).mean() == pytest.approx(60 / 80, abs=0.03)
+    assert s[0] == s[2] and bin(int(s[0] ^ s[1])).count("1") < 24
+
+
+def test_hot_bucket_is_split_and_whole(spark):
+    band = spark.range(0, 60).selectExpr("id", "0L AS sketch", "CASE WHEN id < 50 THEN 1L ELSE id END AS key").unionByName(spark.range(10, 12).selectExpr("id", "0L AS sketch", "77L AS key"))
+    got = [(r.a, r.b) for r in bucket_pairs(band, block=7).collect()]
+    assert len(got) == len(set(got)) and set(got) == set(itertools.combinations(range(50), 2))
+    far = band.withColumn("sketch", F.when(F.col("id") < 25, 0).otherwise(-1).cast("bigint"))
+    assert set((r.a, r.b) for r in bucket_pairs(far, block=7).collect()) == set(itertools.combinations(range(25), 2)) | set(itertools.combinations(range(25, 50), 2))
+    assert bucket_pairs(band, block=100).count() == 50 * 49 // 2
+
+
+def test_words_as_the_engine_has_them(spark):
+    texts = ["Ñandú ÁRBOL uno", "a\u0301b ½ x² ٣ﬁn", "", "İstanbul naïve—señal_z 42a", "Ωμέγα"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, t string")
+    assert {r.id: sorted(r.w) for r in df.select("id", words("t").alias("w")).collect()} == {k: word_set(t) for k, t in enumerate(texts)}
+
+
+def test_recall_on_random_edits(spark):
+    """Numbers of edits drawn evenly, up to the limit itself: the shares found are printed."""
+    rng = random.Random(11)
+    stock = [f"x{k}" for k in range(30_000)]
+    head = [f"h{k}" for k in range(12)]
+    texts, true, clear = [], set(), set()
+    for k in range(1500):
+        w = head[: rng.randrange(6, 12)] + rng.sample(stock, 36)
+        m = rng.randrange(0, 10)
+        texts += [" ".join(w), " ".join(w[: len(w) - m] + rng.sample(stock, m))]
+        a, b = set(texts[-2].split()), set(texts[-1].split())
+        if a != b and len(a & b) / len(a | b) >= 0.65:
+            true.add((2 * k, 2 * k + 1))
+            if len(a & b) / len(a | b) >= 0.7:
+                clear.add((2 * k, 2 * k + 1))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r.id_a, r.id_b) for r in near_duplicate_pairs(df, "id", "text", 0.65).collect()}
+    print("recall from 0.65", len(got & true) / len(true), "of", len(true), "from 0.7", len(got & clear) / len(clear), "of", len(clear))
+    assert len(got & true) >= 0.997 * len(true) and len(got & clear) >= 0.999 * len(clear)
