@@ -6,8 +6,9 @@ of a plain permutation): the chance that two records share a value is their weig
 edited copies and near zero for records that only share the phrases all records have.
 
 Bands of values propose pairs; one bit of each of 64 further uses of the values, carried beside the band keys, turns
-away most pairs that merely met by chance; the plain Jaccard similarity of the whole word sets decides. Each record is
-signed once and its band keys are shuffled once.
+away most pairs that merely met by chance; bit maps of the word sets, which bound the similarity from above, turn away
+nearly all others; the plain Jaccard similarity of the whole word sets decides. Each record is signed once and its
+band keys are shuffled once.
 """
 
 from __future__ import annotations
@@ -63,6 +64,14 @@ def word_id(word: str) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+def bit_map(words: list[str]) -> tuple[int, int]:
+    """128 bits as two signed numbers, of which each word sets one."""
+    m = 0
+    for w in words:
+        m |= 1 << (word_id(w) & 127)
+    return tuple(x - (1 << 64) if x >> 63 else x for x in (m & (1 << 64) - 1, m >> 64))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -148,16 +157,16 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
                 if len(w) >= least_words:
                     s = " ".join(w)
                     d = xxhash.xxh3_128_digest(s)
-                    out.append((i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), s))
-            yield pd.DataFrame(out, columns=["id", "k1", "k2", "words"])
+                    out.append((i, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), *bit_map(w), s))
+            yield pd.DataFrame(out, columns=["id", "k1", "k2", "m1", "m2", "words"])
 
     # texts are split into words once; 128 bits stand for the word set while grouping
     texts = records.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL AND id IS NOT NULL")
-    sets = stored(texts.mapInPandas(split, f"id {id_type}, k1 bigint, k2 bigint, words string"))
-    reps = stored(sets.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.min("words").alias("words")))
+    sets = stored(texts.mapInPandas(split, f"id {id_type}, k1 bigint, k2 bigint, m1 bigint, m2 bigint, words string"))
+    reps = stored(sets.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.min("m1").alias("m1"), F.min("m2").alias("m2"), F.min("words").alias("words")).withColumn("size", F.size(F.split("words", " "))))
     members = sets.select("id", "k1", "k2").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "rep")
 
-    n, occurrences = reps.agg(F.count("*"), F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0))).first()
+    n, occurrences = reps.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     word = reps.select(F.explode(F.split("words", " ")).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
     common = word.where(F.col("df") >= max(COMMON_SHARE * (n + PRIOR_RECORDS), occurrences / MOST_COMMON)).toPandas()
     common["id"] = np.array([word_id(w) for w in common["w"]], np.uint64)
@@ -176,6 +185,13 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
     signed = reps.select(F.col("rep").alias("id"), "words").mapInPandas(sign, f"id {id_type}, keys array<bigint>, sketch bigint")
     near = bucket_pairs(signed.select("id", "sketch", F.explode("keys").alias("key")))
 
+    # bits of one map that the other lacks are words it lacks: the common words are at most the rest
+    side = lambda c, k: reps.select(F.col("rep").alias(c), F.col("size").alias(f"n{k}"), F.col("m1").alias(f"p{k}"), F.col("m2").alias(f"q{k}"))
+    lacks = lambda x, y: F.bit_count(F.col(f"p{x}").bitwiseAND(F.bitwise_not(f"p{y}"))) + F.bit_count(F.col(f"q{x}").bitwiseAND(F.bitwise_not(f"q{y}")))
+    most = F.least(F.col("n1") - lacks(1, 2), F.col("n2") - lacks(2, 1))
+    near = near.join(side("a", 1), "a").join(side("b", 2), "b").where(most >= threshold * (F.col("n1") + F.col("n2") - most)).select("a", "b")
+    near = cut(near)
+
     common_words = F.size(F.array_intersect("x", "y"))
     links = (
         near.join(reps.select(F.col("rep").alias("a"), F.split("words", " ").alias("x")), "a")
