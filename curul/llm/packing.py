@@ -1,15 +1,16 @@
 """Filling containers of fixed capacity with whole items by pattern packing.
 
 Lengths are bounded by the capacity, so the histogram of lengths, the patterns and the plan are bounded by it too,
-however many items there are. The driver enumerates patterns of two or three lengths that fill a container, fits
-their repeat counts to the histogram by non-negative least squares, rounds them down and packs what is left by best
-fit on the histogram. The plan says, for each length, which run of its items goes to which containers; items are
-ranked within their length in parallel, over hash ranges, and look their container up by rank.
+however many items there are. The driver works in rounds: patterns (a few lengths that fill a container) are generated
+from what the histogram still holds, their repeat counts are fitted to it by non-negative least squares, rounded and
+taken off, and the next round generates patterns from the residual. What no pattern fills any more is packed by best
+fit. The plan says, for each length, which run of its items goes to which containers; items are ranked within their
+length in parallel, over hash ranges, and look their container up by rank.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,77 +20,152 @@ from pyspark.sql import functions as F
 
 from curul.plans.state import cut
 
-#: Ranges of the hash in which the items of one length are ranked apart; a hot length is spread over as many tasks.
-SALTS = 64
-#: At most so many patterns enter the fit; they are taken evenly over the lengths present.
-MOST_PATTERNS = 6000
-
-
-def enumerate_patterns(hist: np.ndarray, capacity: int, most: int = MOST_PATTERNS) -> list[tuple[int, ...]]:
-    """Patterns of one to three present lengths that fill the capacity, or nearly where nothing fills it."""
-    present = [int(v) for v in np.flatnonzero(hist[: capacity + 1]) if v > 0][::-1]
-    have = set(present)
-    out: list[tuple[int, ...]] = []
-    if capacity in have:
-        out.append((capacity,))
-    pairs = [(a, capacity - a) for a in present if capacity - a in have and a >= capacity - a]
-    out += pairs
-    room = max(0, most - len(out))
-    each = max(1, room // max(1, len(present)))
-    for a in present:
-        rest, got = capacity - a, 0
-        if rest <= 1:
-            continue
-        options = [b for b in present if rest - b in have and a >= b >= rest - b > 0]
-        step = max(1, len(options) // each)
-        for b in options[::step]:
-            out.append((a, b, rest - b))
-            got += 1
-            if got >= each:
+#: Items of one length are ranked apart in hash ranges of about so many.
+RANGE_ITEMS = 100_000
+#: Patterns generated in one round; rounds go on until no pattern fills a container.
+PATTERNS_A_ROUND = 4000
+#: Rounds go on until this share of the capacity must stay free in every pattern found.
+MOST_FREE = 1 / 128
+
+
+def generate_patterns(left: np.ndarray, capacity: int, many: int, free: int, rng: np.random.Generator) -> list[tuple[int, ...]]:
+    """Up to ``many`` different patterns of lengths that ``left`` holds, each leaving at most ``free`` of the capacity.
+
+    A pattern begins with lengths drawn as often as they are left, so patterns use up the histogram evenly; one or two
+    lengths of which most are left complete it exactly, or as nearly as they can.
+    """
+    present = np.flatnonzero(left[: capacity + 1] > 0)
+    present = present[present > 0]
+    if not len(present):
+        return []
+    out: dict[tuple[int, ...], None] = {}
+    weight = left[present].astype(np.float64)
+    typical = 2 * int((present * weight).sum() / weight.sum())
+    least = int(present[0])
+    w = np.zeros(capacity + 1)
+    w[present] = weight
+    steps = np.cumsum(weight)
+    steps /= steps[-1]
+    # long lengths are the hard ones to place: the first of a pattern is drawn by count times length squared
+    heads = np.cumsum(weight * present.astype(np.float64) ** 2)
+    heads /= heads[-1]
+    for _ in range(many):
+        room, items, used = capacity, [], w
+        draws = rng.random(min(64, capacity // least + 1))
+        for v in present[np.append(np.searchsorted(heads, draws[:1]), np.searchsorted(steps, draws[1:]))].tolist():
+            if items and room <= typical:
+                break
+            if v <= room:
+                if items and used is w:
+                    used = w.copy()
+                if used is not w and used[v] < 1:
+                    continue
+                items.append(v)
+                if used is not w:
+                    used[v] -= 1
+                room -= v
+        if items and used is w:
+            used = w.copy()
+            used[items[0]] -= 1
+        for _ in range(4):  # one length, then two, for all the room; then a little less
+            if room < least:
+                break
+            single = used[: room + 1]
+            both = np.minimum(single, single[::-1])
+            if room % 2 == 0 and used[room // 2] < 2:
+                both[room // 2] = 0
+            if single[room] > 0 and rng.random() * (single[room] + both.max()) < single[room]:
+                items.append(room)
+                room = 0
                 break
-    return list(dict.fromkeys(out))[:most]
-
-
-def fit_counts(patterns: list[tuple[int, ...]], hist: np.ndarray, sweeps: int = 60) -> np.ndarray:
-    """Repeat counts x >= 0 with least squared error of (uses of each length - items of it), by coordinate descent."""
-    x = np.zeros(len(patterns))
-    r = hist.astype(np.float64)
-    cols = []
-    for p in patterns:
-        ls, c = np.unique(p, return_counts=True)
-        cols.append((ls.tolist(), c.astype(float).tolist(), float((c**2).sum())))
-    r = r.tolist()
-    for _ in range(sweeps):
-        moved = 0.0
-        for j, (ls, cs, norm) in enumerate(cols):
-            g = sum(c * r[v] for v, c in zip(ls, cs)) / norm
-            new = max(0.0, x[j] + g)
-            d = new - x[j]
-            if d:
-                x[j] = new
-                for v, c in zip(ls, cs):
-                    r[v] -= c * d
-                moved = max(moved, abs(d))
-        if moved < 1e-3:
-            break
-    return x
+            if both.max() > 0:
+                # of the pairs that fill the room, one of those with most left, at random
+                ok = np.flatnonzero(both >= 0.5 * both.max())
+                v = int(ok[rng.integers(len(ok))])
+                items += [v, room - v]
+                room = 0
+                break
+            fits = present[: np.searchsorted(present, room, side="right")]
+            fits = fits[used[fits] > 0]
+            if not len(fits):
+                break
+            v = int(fits[-1] if room - fits[-1] <= free or room < 3 * least else fits[rng.integers(len(fits))])
+            used = used.copy() if used is w else used
+            used[v] -= 1
+            items.append(v)
+            room -= v
+        if items and room <= free:
+            out[tuple(sorted(items, reverse=True))] = None
+    return list(out)
+
+
+def fit_counts(patterns: list[tuple[int, ...]], hist: np.ndarray, steps: int = 200) -> np.ndarray:
+    """Repeat counts x >= 0 with least squared error of (uses of each length - items of it), relative to the items: by
+    accelerated projected gradient on the sparse matrix of patterns."""
+    if not patterns:
+        return np.zeros(0)
+    row = np.concatenate([np.asarray(p) for p in patterns])
+    col = np.repeat(np.arange(len(patterns)), [len(p) for p in patterns])
+    scale = 1.0 / np.sqrt(np.maximum(hist, 1.0))
+    b = hist * scale
+    s = scale[row]
+    s = s / np.sqrt(np.bincount(col, s * s, len(patterns)))[col]  # columns of one length, so that hot lengths settle as soon as rare ones
+    times = lambda x: np.bincount(row, s * x[col], len(hist))
+    back = lambda r: np.bincount(col, s * r[row], len(patterns))
+    v = np.ones(len(patterns))
+    for _ in range(20):  # the largest eigenvalue gives the step
+        v = back(times(v))
+        norm = np.linalg.norm(v)
+        if not norm:
+            return np.zeros(len(patterns))
+        v /= norm
+    step = 0.9 / norm
+    x = y = np.zeros(len(patterns))
+    t = 1.0
+    for _ in range(steps):
+        new = np.maximum(0.0, y + step * back(b - times(y)))
+        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        y = new + (t - 1) / t2 * (new - x)
+        x, t = new, t2
+    return x / np.sqrt(np.bincount(col, scale[row] ** 2, len(patterns)))
 
 
 def plan_packing(hist: np.ndarray, capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """(segments, containers). A segment (length, first, last, container, each): items of that length ranked first..last-1
-    go to containers container, container + 1, ..., each taking ``each`` of them. All items are covered exactly once."""
+    """(segments, containers) of ``plan_by_patterns``."""
+    return plan_by_patterns(hist, capacity)[:2]
+
+
+def plan_by_patterns(hist: np.ndarray, capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int, float]:
+    """(segments, containers, share of the tokens placed by patterns). A segment (length, first, last, container, each):
+    items of that length ranked first..last-1 go to containers container, container + 1, ..., each taking ``each`` of
+    them. All items are covered exactly once. The same histogram gives the same plan."""
     left = hist.astype(np.int64).copy()
+    lengths = np.arange(len(left))
+    tokens = int((left * lengths).sum())
     groups: list[tuple[dict[int, int], int]] = []  # (items of each length in one container, containers)
-    patterns = enumerate_patterns(hist, capacity)
-    for p, x in sorted(zip(patterns, fit_counts(patterns, hist)), key=lambda t: (-t[1], t[0])):
-        need: dict[int, int] = defaultdict(int)
-        for v in p:
-            need[v] += 1
-        k = min(int(x), *(int(left[v]) // c for v, c in need.items()))
-        if k > 0:
-            groups.append((dict(need), k))
-            for v, c in need.items():
-                left[v] -= c * k
+    rng, free, idle = np.random.default_rng(capacity), 0, 0
+    if left[capacity]:
+        groups.append(({capacity: 1}, int(left[capacity])))
+        left[capacity] = 0
+    while (rest := int((left * lengths).sum())) >= capacity and free <= capacity * MOST_FREE:
+        patterns = generate_patterns(left, capacity, int(np.clip(rest / capacity, 64, PATTERNS_A_ROUND)), free, rng)
+        x = fit_counts(patterns, left)
+        placed = 0
+        for j in np.argsort(-x, kind="stable").tolist():
+            if x[j] < 0.2:
+                break
+            need = Counter(patterns[j])
+            k = min(max(1, int(x[j])), *(int(left[v]) // c for v, c in need.items()))
+            if k > 0:
+                groups.append((dict(need), k))
+                placed += k * sum(patterns[j])
+                for v, c in need.items():
+                    left[v] -= c * k
+        # where exact fills have become rare, a little more may stay free
+        idle = idle + 1 if placed < 0.1 * rest else 0
+        if not placed or idle > 2:
+            free, idle = max(1, 2 * free), 0
+    by_patterns = 1 - int((left * lengths).sum()) / max(1, tokens)
     # what rounding left: longest first, each into the fullest open container that takes it
     opened: dict[int, list[tuple[dict[int, int], int]]] = defaultdict(list)
     for v in range(capacity, 0, -1):
@@ -127,11 +203,11 @@ def plan_packing(hist: np.ndarray, capacity: int) -> tuple[list[tuple[int, int,
             out.append((v, rank[v], rank[v] + c * k, at, c))
             rank[v] += c * k
         at += k
-    return out, at
+    return out, at, by_patterns
 
 
-def ranked(items: DataFrame, keys: list[str], order: list[str], salts: int = SALTS) -> DataFrame:
-    """Adds ``rank`` from 0 within the keys, in parallel: counts of hash ranges give each range its start."""
+def ranked(items: DataFrame, keys: list[str], order: list[str], salts: int) -> DataFrame:
+    """Adds ``rank`` from 0 within the keys, in parallel: counts of ``salts`` hash ranges give each range its start."""
     h = F.xxhash64(*order)
     s = items.withColumns({"__h": h, "__s": F.pmod(h, F.lit(salts)).cast("int")})
     counts = s.groupBy(*keys, "__s").agg(F.count("*").alias("__n"))
@@ -186,7 +262,7 @@ def pack(items: DataFrame, id_col: str, size_col: str, capacities: dict[int, int
             yield b.assign(container=container)[["cupo_id", "container", "id", "part", "token_from", "token_to"]]
 
     id_type = base.schema["id"].dataType.simpleString()
-    r = ranked(piece, ["cupo_id", "length"], ["id", "part"])
+    r = ranked(piece, ["cupo_id", "length"], ["id", "part"], 1 + int(counts["n"].max() if len(counts) else 0) // RANGE_ITEMS)
     placed = r.select("cupo_id", "length", "rank", "id", "part", "token_from", "token_to").mapInPandas(place, f"cupo_id bigint, container bigint, id {id_type}, part bigint, token_from bigint, token_to bigint")
     none = each.where("size <= 0").select("cupo_id", F.lit(None).cast("bigint").alias("container"), "id", *[F.lit(0).cast("bigint").alias(c) for c in ("part", "token_from", "token_to")])
     return placed.unionByName(none)

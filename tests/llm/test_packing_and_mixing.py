@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curul.llm.mixing import mix, rake, shares
-from curul.llm.packing import fit_counts, pack, plan_packing, usage
+from curul.llm.packing import fit_counts, pack, plan_by_patterns, plan_packing, usage
 from curul.llm.tokens import TOKENIZER, encoding, token_count
 
 
@@ -27,6 +27,16 @@ def test_plan_covers_every_item_once(cap):
         assert count <= max(least * 1.25 + 1, (hist[cap // 2 + 1 :]).sum() * 1.1 + least * 0.3 + 2)
 
 
+@pytest.mark.parametrize(("low", "high", "cap"), [(90, 111, 2048), (1, 512, 512), (5, 1500, 8192), (100, 3000, 8192)])
+def test_patterns_place_most(low, high, cap):
+    """Whatever the ratio of lengths to the capacity, patterns place nine tenths and containers are nearly full."""
+    hist = np.bincount(np.random.default_rng(low).integers(low, high, 20_000), minlength=cap + 1)
+    _, count, share = plan_by_patterns(hist, cap)
+    # containers cannot be fewer than tokens over capacity, nor than items over half of it
+    least = max(-(-int((hist * np.arange(cap + 1)).sum()) // cap), int(hist[cap // 2 + 1 :].sum()))
+    assert share >= 0.9 and count <= least * 1.02
+
+
 def test_fit_is_the_least_squares_solution():
     hist = np.array([0, 4, 6, 2, 0, 3])
     x = fit_counts([(5,), (2, 3), (1, 2, 2), (1, 1, 3)], hist, 2000)
