@@ -15,12 +15,12 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curul.functions.names import DOTTED_GIVEN
 from curul.functions.unicode_text import fold
-from curul.plans.state import cut
+from curul.plans.state import cut, stored
 
 PLACEHOLDERS = {"email": "<EMAIL>", "phone": "<PHONE>", "identity": "<IDENTITY>", "address": "<ADDRESS>", "name": "<NAME>"}
 #: Contexts that start the bootstrapping of names.
@@ -35,7 +35,7 @@ _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
 # what must not stand before a match is looked at afterwards.
 AT_SIGN = re.compile(rf"@|[\[({{] ?(?:at|AT|arroba|ARROBA) ?[\])}}]|arroba|ARROBA")
 EMAIL = re.compile(rf"{_LOCAL}{_AT}{_LABEL}(?:{_DOT}{_LABEL})+")
-_LOCAL_END = re.compile(rf"(?<![\w.+@/-]){_LOCAL}$")
+_LOCAL_SIGNS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._+-")
 
 DIGITS = re.compile(r"[+(\d][\d ().-]{5,}\d")
 NUMBER = re.compile(r"(?<![\w$/.,:#+-])\+?(?:\d+ )?(?:\(\d{2,3}\) ?)?\d+(?:[ .-]\d+)*(?![\w/]|[.,:-]\d)")
@@ -54,21 +54,30 @@ _DISTRICT = rf"(?:,? (?:[Cc]ol|COL|[Cc]olonia|COLONIA|[Ff]racc|FRACC|[Ff]raccion
 _POSTAL = r"(?:,? (?:C\. ?P\.?|CP|c\.p\.|[Cc]ódigo [Pp]ostal) ?\d{5})"
 ADDRESS = re.compile(rf"{_KIND} {_SWORD}(?: {_SWORD}){{0,7}}{_HOUSE}(?![\d/]){_INNER}?{_DISTRICT}?{_POSTAL}?")
 
+_SAID = re.compile(rf"(?:[Nn]o\.|N[oO]\.|[Nn][úu]m|N[ÚU]M|#|[Ss]/[Nn]|S/N|sin n[úu]mero|{_DISTRICT}|{_POSTAL})")
+
 _ABBREVIATED = [a for d in DOTTED_GIVEN for a in (d.capitalize(), d.upper())]
 _BY_LENGTH = "|".join("(?<=" + "|".join(rf"{a}\." for a in _ABBREVIATED if len(a) == n) + ")" for n in sorted({len(a) for a in _ABBREVIATED}))
-# Words are bounded and don't backtrack, so a text without spaces costs no more than another. A dot belongs to a word
-# only as that of an initial or a short given name.
-_LONG = rf"[^\W\d_]{{1,40}}+(?![^\W\d_])(?:\.(?:{_BY_LENGTH}))?"
+# Words don't backtrack and runs begin only at the beginning of a word, so a text without spaces costs no more than
+# another. A dot belongs to a word only as that of an initial or a short given name.
+_LONG = rf"[^\W\d_]++(?:\.(?:{_BY_LENGTH}))?"
 _W = rf"{_UP}(?:{_LONG}|\.)"
 _PART = r"(?:(?:de la|de las|de los|del|de|DE LA|DE LAS|DE LOS|DEL|DE) )?"
-RUN = re.compile(rf"{_W}(?:(?: {_PART}{_W})+|(?=, {_UP}))")
+RUN = re.compile(rf"{_UP}(?<![^\W\d_].)(?:{_LONG}|\.)(?:(?: {_PART}{_W})+|(?=, {_UP}))")
 TAIL = re.compile(rf", ({_UP}{_LONG}(?: {_UP}{_LONG})?)")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|\n|\t")
 # The office that deputies are always named with.
 OFFICE = ("dip.", "dips.", "dip", "diputado", "diputada", "diputados", "diputadas")
 
-# Words that begin the names of laws, institutions and headings, never a personal name.
-NO_NAME_BEGINS = frozenset("ley código codigo reglamento estatuto comisión comision secretaría secretaria instituto dirección direccion universidad colegio oficialía oficialia registro procuraduría procuraduria junta organismo consejo fiscalía fiscalia auditoría auditoria contraloría contraloria ayuntamiento orden gaceta acta exposición exposicion versión version".split())
+# Words for what is named after persons in quotation marks.
+NAMED_AFTER = frozenset("medalla presea premio escuela primaria secundaria preparatoria bachillerato jardín plantel instituto colegio".split())
+
+
+def _names_a_thing(text: str, quote: int) -> bool:
+    """Whether a quotation mark opens the name of a medal, a school or the like: the word before it is such a word, or
+    is capitalised itself."""
+    before = text[max(0, quote - 60) : quote].split()
+    return bool(before) and text[quote - 1] == " " and (before[-1].lower() in NAMED_AFTER or before[-1][0].isupper() and before[-1].isalpha())
 
 
 def _left(text: str, at: int) -> tuple[str, str]:
@@ -100,17 +109,24 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
         at = m.start()
         if at < last:
             continue
-        low = max(0, at - 65)
-        begin = _LOCAL_END.search(text[low:at].rstrip(" "))
-        full = begin and EMAIL.match(text, low + begin.start())
+        end = at - (text[at - 1 : at] == " ")
+        begin = end
+        while begin > last and text[begin - 1] in _LOCAL_SIGNS:
+            begin -= 1
+        if begin == end or not text[begin].isalnum() or begin and (text[begin - 1] in "@/" or text[begin - 1].isalnum()):
+            continue
+        full = EMAIL.match(text, begin)
         if full and full.end() > at:
-            out.append(("email", full.start(), full.end(), "", "", "", "", "", ""))
+            signs = "@" if "@" in full.group() else "written"
+            out.append(("email", full.start(), full.end(), signs, *_left(text, begin), _right(text, full.end()), "", ""))
             insort(taken, full.span())
             last = full.end()
     for m in ADDRESS.finditer(text):
         a, b = m.span()
         if not (a and (text[a - 1].isalnum() or text[a - 1] == "_")) and free(a, b):
-            out.append(("address", a, b, "", "", "", "", "", ""))
+            # a house number said to be one, a district or a postal code; or a mere number after the street
+            said = "said" if _SAID.search(m.group()) else fold(m.group().partition(" ")[0])
+            out.append(("address", a, b, said, *_left(text, a), _right(text, b), "", ""))
             insort(taken, (a, b))
     last = 0
     for m in SIX.finditer(text):
@@ -141,9 +157,7 @@ def proposals(text: str) -> list[tuple[str, int, int, str, str, str, str, str, s
             cut_at = text.find(" ", a, b)
             m = RUN.match(text, cut_at + 1, b + 2) if cut_at >= 0 else None
             a, b = m.span() if m else (a, b)
-        if not m or a and text[a - 1] in "«“\"'" or not free(a, b) or text[max(0, a - 12) : a].rstrip().lower().endswith(OFFICE):
-            continue
-        if m.group().partition(" ")[0].lower() in NO_NAME_BEGINS:
+        if not m or a > 1 and text[a - 1] in "«“\"'" and _names_a_thing(text, a - 1) or not free(a, b) or text[max(0, a - 12) : a].rstrip().lower().endswith(OFFICE):
             continue
         t = TAIL.match(text, b)
         out.append(("run", a, b, "", *_left(text, a), "", m.group(), t.group(1) if t else ""))
@@ -166,47 +180,65 @@ def propose(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL").mapInPandas(scan, f"id {id_type}, {_SCHEMA}")
 
 
-def _share(hit: Column, by: str) -> Column:
-    w = Window.partitionBy(by)
-    return F.sum(F.when(hit, F.col("n")).otherwise(0)).over(w) / F.sum("n").over(w)
+PATTERNS = ("left2", "left1", "right2", "shape")
 
 
-def score_numbers(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, shape, left2, left1, right2, tipo) of numbers and codes that the bootstrapping takes for a type.
+def score_shapes(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(kind, shape, left2, left1, right2, tipo) of the proposals with a shape that the bootstrapping takes for a type.
 
-    Seeds are the shapes that can be nothing else: international prefixes for phones, long register codes for identity.
-    Each round, a context's score for a type is the share of its instances so typed; instances in contexts of at
-    least the round's confidence, or of a shape most of whose instances are so typed, get the type.
+    Seeds are the shapes that can be nothing else: international prefixes for phones, long register codes for identity,
+    e-mail with its sign, addresses that say their number, district or postal code. Each round, a pattern (context or
+    shape) is scored by the share of its instances so typed. Numbers and codes get a type in contexts of at least the
+    round's confidence, or with a shape most of whose instances are so typed. E-mail with its signs written out and
+    streets with a mere number are well formed, so they are turned away only where every pattern seen elsewhere speaks
+    against them.
     """
-    e = found.where("kind IN ('number', 'code')").groupBy("kind", "shape", "left2", "left1", "right2").agg(F.count("*").alias("n"))
+    group = F.when(F.col("kind").isin("number", "code"), "digits").otherwise(F.col("kind"))
+    e = found.where("kind <> 'run'").groupBy("kind", *PATTERNS).agg(F.count("*").alias("n")).withColumn("grp", group)
     digits = F.split("shape", ":")[0].try_cast("int")
-    may = {"phone": (F.col("kind") == "number") & (digits.isin(7, 10, 12, 13, 14)), "identity": (F.col("kind") == "code") | ((F.col("kind") == "number") & (digits == 11))}
-    seed = {"phone": (F.col("kind") == "number") & F.col("shape").rlike(r"^1[0-4]:(\+|4 )"), "identity": F.col("shape").startswith("long")}
-    e = e.withColumns({"is_phone": seed["phone"] & may["phone"], "is_identity": seed["identity"]})
+    may = {"phone": (F.col("kind") == "number") & F.coalesce(digits.isin(7, 10, 12, 13, 14), F.lit(False)), "identity": (F.col("kind") == "code") | ((F.col("kind") == "number") & F.coalesce(digits == 11, F.lit(False))), "formed": F.col("kind").isin("email", "address")}
+    seed = {"phone": (F.col("kind") == "number") & F.col("shape").rlike(r"^1[0-4]:(\+|4 )"), "identity": F.col("shape").startswith("long"), "formed": F.col("shape").isin("@", "said")}
+    types = list(may)
+    e = cut(e.withColumn("edge", F.concat_ws("\x01", "kind", *PATTERNS)).withColumns({f"is_{t}": seed[t] & may[t] for t in types}))
     for k in range(rounds):
         least = 0.08 if k == 0 else 0.5
+        side = e.select("edge", "grp", "n", *[f"is_{t}" for t in types], F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(p).alias("v")) for p in PATTERNS])).alias("x")).select("*", "x.*").drop("x")
+        typed = lambda t: F.sum(F.when(F.col(f"is_{t}"), F.col("n")).otherwise(0))
+        score = side.groupBy("grp", "p", "v").agg(F.sum("n").alias("all"), *[typed(t).alias(f"in_{t}") for t in types])
+        share = lambda p, t: F.max(F.when(F.col("p") == p, F.col(f"in_{t}") / F.col("all"))).alias(f"{p}_{t}")
+        # what the other instances of the pattern say, with one half instance either way in thought
+        others = F.max((F.col("in_formed") - F.col("is_formed").cast("int") + 0.5) / F.col("all")).alias("others")
+        votes = side.join(score, ["grp", "p", "v"]).groupBy("edge").agg(*[share(p, t) for p in PATTERNS for t in ("phone", "identity")], others)
+        e = e.join(votes, "edge")
         new = {}
         for t in ("phone", "identity"):
-            hit = F.col(f"is_{t}")
-            near = (_share(hit, "left2") >= least) | (_share(hit, "left1") >= max(least, 0.5)) | ((_share(hit, "right2") >= 0.3) & (F.lit(t) == "identity"))
-            new[f"is_{t}"] = may[t] & (hit | near | (_share(hit, "shape") >= 0.6))
-        e = e.withColumns(new)
-    return e.select("kind", "shape", "left2", "left1", "right2", F.when(F.col("is_identity"), "identity").when(F.col("is_phone"), "phone").alias("tipo")).where("tipo IS NOT NULL")
+            near = (F.col(f"left2_{t}") >= least) | (F.col(f"left1_{t}") >= max(least, 0.5)) | ((F.col(f"right2_{t}") >= 0.3) & (F.lit(t) == "identity"))
+            new[f"is_{t}"] = may[t] & (F.col(f"is_{t}") | near | (F.col(f"shape_{t}") >= 0.6))
+        new["is_formed"] = may["formed"] & (F.col("is_formed") | (F.col("others") >= 0.3))
+        e = cut(e.withColumns(new).select("edge", "grp", "kind", *PATTERNS, "n", *[f"is_{t}" for t in types]))
+    return e.select("kind", *PATTERNS, F.when(F.col("is_identity"), "identity").when(F.col("is_phone"), "phone").when(F.col("is_formed"), F.col("kind")).alias("tipo")).where("tipo IS NOT NULL")
 
 
 def score_words(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(word, given): words the bootstrapping takes for parts of personal names, and whether they are given names.
 
     The graph joins contexts before runs of capitalised words with the words of the runs. A context's score is the
-    share of its words that are name words, a word's score the share of its occurrences in name contexts."""
+    share of its words that are name words, a word's score the share of its occurrences in name contexts. The beginning
+    of a sentence (^) counts against words as any other context, but is never a name context.
+    """
     word = found.where("kind = 'run'").select("left2", F.posexplode(F.split(F.regexp_replace(fold_names("run"), r"\b(de|del|la|las|los)\b", " "), r"\s+")).alias("k", "word")).where("length(word) > 2 AND NOT word LIKE '%.'")
-    e = word.groupBy("left2", "word").agg(F.count("*").alias("n"), F.sum((F.col("k") == 0).cast("int")).alias("first"))
-    e = e.withColumn("name_context", F.col("left2").isin(*NAME_SEEDS)).withColumn("name_word", F.lit(False))
+    e = cut(word.groupBy("left2", "word").agg(F.count("*").alias("n"), F.sum((F.col("k") == 0).cast("int")).alias("first")))
+    of_word = e.groupBy("word").agg(F.sum("n").alias("all"))
+    of_context = e.where("left2 <> '^'").groupBy("left2").agg(F.sum("n").alias("all"))
+    seeds = found.sparkSession.createDataFrame([(c,) for c in NAME_SEEDS], "left2 string")
+    contexts = seeds
     for k in range(rounds):
-        e = e.withColumn("name_word", _share(F.col("name_context"), "word") >= (0.02 if k == 0 else 0.3))
-        e = e.withColumn("name_context", F.col("left2").isin(*NAME_SEEDS) | ((_share(F.col("name_word"), "left2") >= 0.85) & (F.col("left2") != "^")))
-    g = e.groupBy("word").agg(F.sum(F.when(F.col("name_context"), F.col("n")).otherwise(0)).alias("inside"), F.sum("n").alias("n"), F.sum(F.when(F.col("name_context"), F.col("first")).otherwise(0)).alias("first"))
-    return g.where("inside >= 0.3 * n").select("word", (F.col("first") >= 0.5 * F.col("inside")).alias("given"))
+        inside = e.join(contexts, "left2").groupBy("word").agg(F.sum("n").alias("inside"))
+        names = inside.join(of_word, "word").where(F.col("inside") >= (0.02 if k == 0 else 0.3) * F.col("all")).select("word")
+        held = e.where("left2 <> '^'").join(names, "word").groupBy("left2").agg(F.sum("n").alias("inside"))
+        contexts = cut(held.join(of_context, "left2").where("inside >= 0.85 * all").select("left2").unionByName(seeds).distinct())
+    g = e.join(contexts, "left2").groupBy("word").agg(F.sum("n").alias("inside"), F.sum("first").alias("first"))
+    return g.join(of_word, "word").where("inside >= 0.3 * all").select("word", (F.col("first") >= 0.5 * F.col("inside")).alias("given"))
 
 
 def fold_names(c: str) -> Column:
@@ -266,11 +298,8 @@ def find_personal(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Null and empty texts have none; names in rows with a null id aren't located. Ids must be unique. Spans of one text
     don't overlap; an address keeps the names inside it. Other columns, whatever their names, play no part.
     """
-    found = cut(propose(docs, id_col, text_col))
-    sure = found.where("kind IN ('email', 'address')").select("id", F.col("kind").alias("tipo"), F.col("start").alias("inicio"), F.col("stop").alias("fin"))
-    typed = score_numbers(found)
-    keys = ["kind", "shape", "left2", "left1", "right2"]
-    numbers = found.where("kind IN ('number', 'code')").join(typed, keys).select("id", "tipo", F.col("start").alias("inicio"), F.col("stop").alias("fin"))
+    found = stored(propose(docs, id_col, text_col))
+    shaped = found.where("kind <> 'run'").join(score_shapes(found), ["kind", *PATTERNS]).select("id", "tipo", F.col("start").alias("inicio"), F.col("stop").alias("fin"))
     vocab = cut(score_words(found))
     runs = found.where("kind = 'run'").select("id", "start", "run", "tail")
     parts = F.split(F.regexp_replace(fold_names("run"), r"[^\p{L}]+", " "), " ")
@@ -283,7 +312,7 @@ def find_personal(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     named = runs.join(known, ["id", "start"]).select("id", "start", span("run", "tail", "known").alias("s")).where("s.a IS NOT NULL")
     names = named.select("id", F.lit("name").alias("tipo"), (F.col("start") + F.col("s.a")).alias("inicio"), (F.col("start") + F.col("s.b")).alias("fin"))
-    return sure.unionByName(numbers).unionByName(names)
+    return shaped.unionByName(names)
 
 
 def redact(docs: DataFrame, id_col: str, text_col: str, out_col: str = "redacted") -> DataFrame:

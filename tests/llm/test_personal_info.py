@@ -64,3 +64,25 @@ def test_name_span():
     assert run("Ma. Cigua Gembre") == "Ma. Cigua Gembre" and run("Ana Fco. Cigua") == "Ana Fco. Cigua" and run("Cigua Gembre", "Gpe.") == "Cigua Gembre, Gpe."
     texts = [p[-2:] for t in ("Soy Ma. Cigua Gembre y digo", "firman Cigua Gembre, Fco.; otro", "el PLENO. Ana Cigua habló") for p in proposals(t) if p[0] == "run"]
     assert texts == [("Soy Ma. Cigua Gembre", ""), ("Cigua Gembre", "Fco."), ("Ana Cigua", "")]
+
+
+def test_head_words_and_quotes_hide_no_name(spark):
+    more = ["Se turna a Dirección Ana Dozol Macul. Consta.", "Vista: el Acta Mario Cigua Gembre dijo.", "Así dijo «Elena Tumbre Lonto» ayer.", "La Medalla «Elena Tumbre Lonto» y la escuela primaria «Mario Cigua» y el Premio “José Gembre Lonto”.", f"Habló {'W' + 'x' * 60} con Ana Dozol Macul."]
+    texts = corpus() + more
+    _, got = found(spark, texts)
+    names = {k: sorted(v for d, t, v in got if d == len(texts) - len(more) + k and t == "name") for k in range(len(more))}
+    assert names == {0: ["Ana Dozol Macul"], 1: ["Mario Cigua Gembre"], 2: ["Elena Tumbre Lonto"], 3: [], 4: ["Ana Dozol Macul"]}
+
+
+def test_long_local_part():
+    for n in (10, 64, 90):
+        (p,) = [p for p in proposals(f"correo {'a' * n}@mail.example.org.") if p[0] == "email"]
+        assert p[2] - p[1] == n + len("@mail.example.org")
+
+
+def test_well_formed_but_never_personal(spark):
+    """Written-out signs are turned away where all that is known of their surroundings speaks against them."""
+    texts = [f"Correo: m{k}@uni.test y fin" for k in range(24)] + ["versión v1 (at) main.core en repositorio"] * 40 + ["Correo: ana (at) uni.test y fin"]
+    _, got = found(spark, texts)
+    mails = [v for _, t, v in got if t == "email"]
+    assert len(mails) == 25 and "ana (at) uni.test" in mails
