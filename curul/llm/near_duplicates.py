@@ -48,14 +48,17 @@ BLOCK = 256
 
 _ASCII_WORD, _WORD, _MARKS = re.compile(r"[a-z0-9]+"), regex.compile(r"[\p{L}\p{Nd}]+"), regex.compile(r"\p{M}+")
 _PLAIN = str.maketrans(ACCENTED, UNACCENTED)
+_FREQUENT = [(a, b) for a, b in zip(ACCENTED, UNACCENTED) if a in "áéíóúñü"]
 
 
 def word_set(text: str) -> list[str]:
     """The distinct runs of letters and digits of a text in lower case without accents, sorted."""
     t = text.lower()
     if not t.isascii():
-        t = t.translate(_PLAIN)
-        t = t if t.isascii() else _MARKS.sub("", t)
+        for a, b in _FREQUENT:
+            t = t.replace(a, b)
+        if not t.isascii():
+            t = _MARKS.sub("", t.translate(_PLAIN))
     return sorted(set((_ASCII_WORD if t.isascii() else _WORD).findall(t)))
 
 
@@ -64,11 +67,16 @@ def word_id(word: str) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+@lru_cache(maxsize=1_000_000)
+def _word_bit(word: str) -> int:
+    return 1 << (word_id(word) & 127)
+
+
 def bit_map(words: list[str]) -> tuple[int, int]:
     """128 bits as two signed numbers, of which each word sets one."""
     m = 0
     for w in words:
-        m |= 1 << (word_id(w) & 127)
+        m |= _word_bit(w)
     return tuple(x - (1 << 64) if x >> 63 else x for x in (m & (1 << 64) - 1, m >> 64))
 
 
