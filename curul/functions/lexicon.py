@@ -152,8 +152,8 @@ class Catalog:
         if len(letters) > 1 and all(len(w) == 1 for w in letters):
             return "".join(letters)
         ws = [w for w in letters if w not in LINK_WORDS]
-        if self.lead:  # a misspelt "comision", wherever a turned name has it
-            ws = [w for w in ws if len(w) < 6 or w[:2] not in ("co", "cm", "oc", "om", "ci") or w in self.words or levenshtein(w, "comision", 2) > 2] or ws
+        if self.lead:  # a misspelt heading, wherever a turned name has it
+            ws = [w for w in ws if w in self.words or not _like_heading(w)] or ws
         return " ".join(ws)
 
     def _expand(self, text: str) -> list[str]:
@@ -222,9 +222,13 @@ class Catalog:
 
     def best(self, text: str | None) -> tuple[int | None, str]:
         """(id, how); (-1, "none") when no entry is meant, (None, "missing") when there is no value."""
-        if is_missing(text):
+        return self.decide(text, self.near(text))
+
+    @staticmethod
+    def decide(text: str | None, c: list[tuple[float, int, str]]) -> tuple[int | None, str]:
+        """The answer of ``best`` from that of ``near``."""
+        if not c and is_missing(text):
             return None, "missing"
-        c = self.near(text)
         if not c:
             return -1, "none"
         if len(c) > 1 and c[0][0] == c[1][0] and c[0][2] == "cut":
@@ -232,9 +236,15 @@ class Catalog:
         return c[0][1], c[0][2]
 
 
+# Headings that stand before entries of a reference list and name none.
 _HEADS = ("tema", "comision", "com")
 
 
+@lru_cache(maxsize=100_000)
+def _like_heading(w: str) -> bool:
+    return len(w) >= 6 and any(len(h) >= 6 and levenshtein(w, h, 2) <= 2 for h in _HEADS)
+
+
 @lru_cache(maxsize=10_000)
 def _like_link(w: str) -> bool:
     """A misspelt link word or heading."""

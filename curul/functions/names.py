@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 from curul.functions.lexicon import CONTRACTIONS, LINK_WORDS, levenshtein
@@ -65,11 +66,12 @@ def person_words(text: str) -> list[str]:
     return [w for w, _ in ts if w not in ("de", "del", "la", "las", "los", "y")]
 
 
-def given_readings(w: str, given: frozenset[str] | set[str]) -> list[str]:
-    """Official given names that a short form or an initial may stand for."""
-    out = [g for g in SHORT_GIVEN.get(w, "").split() if g in given]
+def given_readings(w: str, given: list[str]) -> list[str]:
+    """Official given names (sorted) that a short form or a beginning may stand for."""
+    at = lambda x: bisect_left(given, x)
+    out = [g for g in SHORT_GIVEN.get(w, "").split() if given[at(g) : at(g) + 1] == [g]]
     if not out and len(w) >= 3:
-        out = [g for g in given if g.startswith(w) and len(g) > len(w)]
+        out = [g for g in given[at(w) : at(w + "\uffff")] if g != w]
     return out
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curul.plans.state import cut
+
 
 def dictionary(records: DataFrame, determinant: list[str], target: str) -> DataFrame:
     """(__d0, __d1, ..., value, n, total, second): the most frequent target value of each determinant.
@@ -25,22 +29,36 @@ def mine_dependencies(records: DataFrame, determinants: list[list[str]], target:
     """One row per candidate: (determinant, target, records, groups, agreeing, confidence, verified).
 
     confidence is the share of complete records, in groups of at least ``least_support``, that carry their group's
-    most frequent value. Without such groups confidence is null and the dependency isn't verified.
+    most frequent value. Without such groups confidence is null and the dependency isn't verified. All candidates share
+    one pass: a record goes into the counts once per candidate, with 64 bits for the determinant's values, and the
+    counts combine on the map side.
     """
-    out = None
-    for d in determinants:
-        t = dictionary(records, d, target).where(F.col("total") >= least_support)
-        one = t.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("records"), F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("agreeing"))
-        one = one.select(F.lit("+".join(d)).alias("determinant"), F.lit(target).alias("target"), "records", "groups", "agreeing", F.expr("try_divide(agreeing, records)").alias("confidence"))
-        out = one if out is None else out.unionByName(one)
+    entry = [F.when(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in d)), F.struct(F.lit(k).alias("c"), F.xxhash64(*d).alias("k"))) for k, d in enumerate(determinants)]
+    long = records.where(F.col(target).isNotNull()).select(F.col(target).alias("value"), F.explode(F.array_compact(F.array(*entry))).alias("e"))
+    counts = long.groupBy("e.c", "e.k", "value").agg(F.count("*").alias("n"))
+    groups = counts.groupBy("c", "k").agg(F.sum("n").alias("total"), F.max("n").alias("most")).where(F.col("total") >= least_support)
+    stats = groups.groupBy("c").agg(F.sum("total").alias("records"), F.count("*").alias("groups"), F.sum("most").alias("agreeing"))
+    names = records.sparkSession.createDataFrame([(k, "+".join(d)) for k, d in enumerate(determinants)], "c int, determinant string")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    out = names.join(stats, "c", "left").select("determinant", F.lit(target).alias("target"), zero("records"), zero("groups"), zero("agreeing"), F.expr("try_divide(agreeing, records)").alias("confidence"))
     return out.withColumn("verified", F.coalesce(F.col("confidence") >= least_confidence, F.lit(False)))
 
 
-def verified_dependencies(records: DataFrame, determinants: list[list[str]], target: str, least_confidence: float = 0.95) -> list[list[str]]:
-    """The candidates that the complete records bear out, in the order given: confidence at or above the limit, or no
-    group of two records that could speak against it. One row a candidate comes to the driver."""
-    m = {r["determinant"]: r["confidence"] for r in mine_dependencies(records, determinants, target, least_confidence).collect()}
-    return [d for d in determinants if m["+".join(d)] is None or m["+".join(d)] >= least_confidence]
+def find_dependencies(records: DataFrame, columns: list[str], target: str, most_columns: int = 2, least_confidence: float = 0.95) -> list[list[str]]:
+    """The sets of up to ``most_columns`` of the columns that the complete records bear out as determinants of the target.
+
+    Surest first; among equally sure ones those of more columns, which claim less, then those that more records bear out.
+    A column that is unique shows no groups and is never verified. One row a candidate comes to the driver.
+    """
+    sets = [list(d) for k in range(1, most_columns + 1) for d in combinations(columns, k)]
+    rows = [r for r in mine_dependencies(records, sets, target, least_confidence).collect() if r["verified"]]
+    rows.sort(key=lambda r: (-r["confidence"], -r["determinant"].count("+"), -r["records"], r["determinant"]))
+    return [r["determinant"].split("+") for r in rows]
+
+
+#: A key in at least this share of the rows to fill is hot; there are at most the reciprocal of it, so their dictionary
+#: entries are broadcast, and no other key makes a large group of a join.
+HOT_SHARE = 1e-3
 
 
 def fill_missing(records: DataFrame, target: str, dependencies: list[list[str]], group: list[str] | None = None, filled_col: str | None = None, source_col: str | None = None) -> DataFrame:
@@ -49,15 +67,35 @@ def fill_missing(records: DataFrame, target: str, dependencies: list[list[str]],
     Dependencies are tried in order by left joins to their dictionaries; a dictionary entry counts only if its value
     isn't tied. Then the group's most frequent value, likewise untied. ``source_col`` is observed, dependency:<cols>,
     group:<cols>, or null where the value stays missing. Null determinants never match; repeated rows are filled alike;
-    an empty table gives an empty result. Columns of the two output names are replaced. The dictionary side is
-    pre-aggregated to one row a key, so a hot key makes no wide group; the joins leave the strategy to the planner.
+    an empty table gives an empty result. Columns of the two output names are replaced.
+
+    Only rows that lack the value and have the determinant enter a join; the others pass by. Hot keys (HOT_SHARE) find
+    their entry in a broadcast of bounded size, the rest by a join in which no key is hot.
     """
     filled_col, source_col = filled_col or f"{target}_filled", source_col or f"{target}_source"
     out = records.withColumns({filled_col: F.col(target), source_col: F.when(F.col(target).isNotNull(), F.lit("observed"))})
-    for kind, cols in [*(("dependency", d) for d in dependencies), *([("group", group)] if group else [])]:
+    steps = [*(("dependency", d) for d in dependencies), *([("group", group)] if group else [])]
+    for kind, cols in steps:
         keys = [f"__d{k}" for k in range(len(cols))]
+        out = cut(out)
+        lacks = F.col(filled_col).isNull()
+        for c in cols:
+            lacks = lacks & F.col(c).isNotNull()
+        need = out.where(lacks)
         t = dictionary(records, cols, target).where("second < n").select(*keys, F.col("value").alias("__value"))
-        on = [F.col(c) == F.col(k) for c, k in zip(cols, keys)]
-        got = F.col(filled_col).isNull() & F.col("__value").isNotNull()
-        out = out.join(t, on, "left").withColumns({source_col: F.when(got, F.lit(f"{kind}:{'+'.join(cols)}")).otherwise(F.col(source_col)), filled_col: F.coalesce(filled_col, "__value")}).drop("__value", *keys)
+        counts = need.groupBy(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).agg(F.count("*").alias("__n"))
+        least = max(1, int(need.count() * HOT_SHARE))
+        hot = counts.where(F.col("__n") >= least).select(*keys)
+        hot_entries = cut(t.join(F.broadcast(hot), keys, "left_semi"))
+        label = F.lit(f"{kind}:{'+'.join(cols)}")
+
+        def put(rows: DataFrame, entries: DataFrame, keys: list[str] = keys, cols: list[str] = cols, label: Column = label) -> DataFrame:
+            on = [F.col(c) == F.col(k) for c, k in zip(cols, keys)]
+            return rows.join(entries, on, "left").withColumns({source_col: F.when(F.col("__value").isNotNull(), label), filled_col: F.col("__value")}).drop("__value", *keys)
+
+        is_hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
+        marked = need.join(is_hot, [F.col(c) == F.col(k) for c, k in zip(cols, keys)], "left").drop(*keys)
+        by_hot = put(marked.where("__hot").drop("__hot"), F.broadcast(hot_entries))
+        by_join = put(marked.where("__hot IS NULL").drop("__hot"), t)
+        out = out.where(~lacks).unionByName(by_hot).unionByName(by_join)
     return out

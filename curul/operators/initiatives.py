@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from curul.functions.catalog_udf import entry_id, list_of, party_catalog, says_missing
 from curul.functions.lexicon import Catalog
-from curul.operators.imputation import fill_missing, verified_dependencies
+from curul.operators.imputation import fill_missing, find_dependencies
 from curul.operators.name_resolution import person_of_spelling
+from curul.plans.spread import spread
 from curul.plans.state import cut
 
 
 def _ids(records: DataFrame, col: str, catalog: Catalog) -> DataFrame:
     """(col, col_id, col_missing) of every distinct non-null value."""
     v = records.select(col).where(F.col(col).isNotNull()).distinct()
-    return cut(v.withColumns({f"{col}_id": entry_id(F.col(col), catalog), f"{col}_missing": says_missing(F.col(col))}))
+    return cut(spread(v, col).withColumns({f"{col}_id": entry_id(F.col(col), catalog), f"{col}_missing": says_missing(F.col(col))}))
 
 
 def identified(records: DataFrame, roster: DataFrame, committees: DataFrame, topics: DataFrame, parties: DataFrame) -> DataFrame:
@@ -39,20 +40,26 @@ def identified(records: DataFrame, roster: DataFrame, committees: DataFrame, top
 
 
 def filled(ids: DataFrame) -> DataFrame:
-    """The rows of ``identified`` with partido_id by (person, legislatura) and tema_id by committee filled in.
+    """The rows of ``identified`` with partido_id and tema_id filled in: by the dependencies mined from the complete
+    records, then by the usual value of the same person in the same legislature, or of the same committee.
 
-    The dependency is used only if the complete records bear it out. Only fields that are missing are filled; a value
-    that names no entry stays as it is. The sources say how.
+    Only fields that are missing are filled; a value that names no entry stays as it is. The sources say how.
     """
     ids = cut(ids)
-    p = fill_missing(ids, "partido_id", verified_dependencies(ids, [["person", "legislatura"]], "partido_id"))
-    p = p.withColumn("partido_source", F.when((F.col("partido_id_source") == "observed") | F.col("partido_missing"), F.col("partido_id_source")))
-    t = fill_missing(p, "tema_id", [], group=["comision_id"])
-    return t.withColumn("tema_source", F.when((F.col("tema_id_source") == "observed") | F.col("tema_missing"), F.col("tema_id_source")))
+    columns = ["person", "legislatura", "comision_id", "tema_id", "partido_id"]
+    out = ids
+    for target, group in (("partido_id", ["person", "legislatura"]), ("tema_id", ["comision_id"])):
+        mined = find_dependencies(ids, [c for c in columns if c != target], target)
+        out = fill_missing(out, target, mined, group=None if group in mined else group)
+        field = target.removesuffix("_id")
+        allowed = (F.col(f"{target}_source") == "observed") | F.col(f"{field}_missing")
+        out = out.withColumn(f"{field}_source", F.when(allowed, F.col(f"{target}_source")))
+    return out
 
 
 def filled_values(done: DataFrame) -> DataFrame:
-    """(registro_id, campo, valor_id) of the fields that were missing and are filled now."""
-    a = done.where("partido_source LIKE 'dependency:%'").select("registro_id", F.lit("partido").alias("campo"), F.col("partido_id_filled").alias("valor_id"))
-    b = done.where("tema_source LIKE 'group:%'").select("registro_id", F.lit("tema").alias("campo"), F.col("tema_id_filled").alias("valor_id"))
+    """(registro_id, campo, valor_id) of the missing fields that the same person in the same legislature, or the
+    committee, fills; what other dependencies fill is no case."""
+    a = done.where("partido_source IN ('dependency:person+legislatura', 'group:person+legislatura')").select("registro_id", F.lit("partido").alias("campo"), F.col("partido_id_filled").alias("valor_id"))
+    b = done.where("tema_source IN ('dependency:comision_id', 'group:comision_id')").select("registro_id", F.lit("tema").alias("campo"), F.col("tema_id_filled").alias("valor_id"))
     return a.unionByName(b)

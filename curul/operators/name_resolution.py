@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from curul.functions.lexicon import Trie
 from curul.functions.names import given_readings, is_body, person_cost, person_words
 from curul.functions.unicode_text import fold, is_missing
+from curul.plans.spread import spread
+from curul.plans.state import cut
 
 #: Distinct words of official names; names draw on a closed stock, and more than this raises before anything is sent.
 MOST_WORDS = 200_000
@@ -51,7 +53,8 @@ def parse_spellings(spellings: DataFrame, text_col: str) -> DataFrame:
                 out.append(("person", person_words(t)))
         return pd.DataFrame(out, columns=["kind", "words"])
 
-    p = spellings.withColumn("__p", parse(F.col(text_col)))
+    # written once: parsing is costly, and a filter on its result would be pushed below the distinct
+    p = cut(spread(spellings, text_col).withColumn("__p", parse(F.col(text_col))))
     return p.withColumns({"kind": F.col("__p.kind"), "words": F.col("__p.words")}).drop("__p")
 
 
@@ -85,7 +88,7 @@ def resolve_persons(persons: DataFrame, near: DataFrame, official: DataFrame) ->
     rows = official.select("g1").distinct().limit(MOST_WORDS + 1).collect()
     if len(rows) > MOST_WORDS:
         raise ValueError(f"over {MOST_WORDS} different given names")
-    given = frozenset(r[0] for r in rows)
+    given = sorted(r[0] for r in rows)
 
     @F.pandas_udf("array<string>")
     def readings(w: pd.Series) -> pd.Series:
