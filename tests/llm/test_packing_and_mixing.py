@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from curul.llm.mixing import mix, rake, shares
+from curul.llm.mixing import fit_cells, mix, rake, shares, tempered
 from curul.llm.packing import fit_counts, pack, plan_by_patterns, plan_packing, usage
 from curul.llm.tokens import TOKENIZER, encoding, token_count
 
@@ -88,6 +88,40 @@ def test_mix(spark):
     assert abs(got["es"] / sum(got.values()) - 0.5) < 0.03
 
 
+def _cells(seed=0):
+    rng = np.random.default_rng(seed)
+    return pd.DataFrame([(s, v, t, int(rng.integers(20, 4000)), 1) for s in "abcd" for v in ("es", "en") for t in "12345"], columns=["source", "language", "topic", "tokens", "n"])
+
+
+def test_raking_is_more_than_scaling():
+    """With targets of their own for topics the fit moves probabilities inside a source, and all marginals are met."""
+    cells, weights, caps = _cells(), {"a": 0.1, "b": 0.2, "c": 0.3, "d": 0.4}, {"a": 3, "b": 1, "c": 2, "d": 1}
+    topics = tempered(0.5)((cells.groupby("topic").tokens.sum() / cells.tokens.sum()).to_dict())
+    f = fit_cells(cells, {"source": weights, "topic": topics}, caps)
+    w = f * cells.tokens
+    plain = cells.source.map(weights) / cells.groupby("source").tokens.transform("sum")
+    moved = (f / w.sum()) / plain
+    assert moved.max() / moved.min() > 1.1
+    assert (f >= 0).all() and (f <= cells.source.map(caps) + 1e-9).all()
+    for col, t in (("source", weights), ("topic", topics)):
+        got = w.groupby(cells[col]).sum() / w.sum()
+        assert all(abs(got[k] - v / sum(t.values())) < 2e-3 for k, v in t.items())
+
+
+def test_contradicting_targets_keep_the_sources():
+    cells = pd.DataFrame([("a", "es", "1", 900, 1), ("b", "en", "1", 100, 1)], columns=["source", "language", "topic", "tokens", "n"])
+    w = fit_cells(cells, {"source": {"a": 0.5, "b": 0.5}, "language": {"es": 0.9, "en": 0.1}}, {"a": 1, "b": 2}) * cells.tokens
+    assert w[0] == pytest.approx(w[1]) and w[1] == pytest.approx(200)
+
+
+def test_text_of_two_sources_goes_where_it_is_scarce(spark):
+    rows = [(k, f"t{k}", "a", 10) for k in range(50)] + [(100 + k, f"t{k}", "b", 10) for k in range(5)]
+    df = spark.createDataFrame(rows, "id long, text string, source string, size int").withColumns({"lang": F.lit("es"), "topic": F.lit(1)})
+    m = mix(df, "id", "text", "size", "source", {"a": 0.9, "b": 0.1}, {"a": 1, "b": 1}, "lang", "topic")
+    got = {r.source: (r.n, r.m) for r in m.groupBy("source").agg(F.count("*").alias("n"), F.min("id").alias("m")).collect()}
+    assert got["b"] == (5, 100) and got["a"][0] == 45
+
+
 @pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no vocabulary here")
 def test_tokens(spark):
     texts = ["Hola, congreso.", "", None, "palabra " * 20_000]
