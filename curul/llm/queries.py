@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curul.llm.canonical_values import map_fields, read_catalog
-from curul.llm.mixing import mix, shares
+from curul.llm.mixing import mix, shares, tempered
 from curul.llm.name_variants import spelling_pairs, variant_entities
 from curul.llm.near_duplicates import near_duplicate_classes, near_duplicate_pairs
 from curul.llm.packing import pack, usage
@@ -35,12 +35,17 @@ def _catalogs(spark: SparkSession, d: str) -> dict:
 
 def p3_mapped(spark: SparkSession, d: str) -> DataFrame:
     """Every value with its entry or the report that it has none."""
-    return map_fields(table(spark, d, "iniciativas_pa"), "registro_id", _catalogs(spark, d)).withColumnsRenamed({"id": "registro_id", "field": "campo"})
+    return _mapped(spark, d, _catalogs(spark, d))
+
+
+def _mapped(spark: SparkSession, d: str, catalogs: dict) -> DataFrame:
+    return map_fields(table(spark, d, "iniciativas_pa"), "registro_id", catalogs).withColumnsRenamed({"id": "registro_id", "field": "campo"})
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    plain_number = (F.col("campo") == "tema") & F.col("value").rlike("^([1-9]|1[0-9]|20)$")
-    return p3_mapped(spark, d).where(~F.col("how").isin("missing", "exact") & ~plain_number).select("registro_id", "campo", "ref_id")
+    catalogs = _catalogs(spark, d)
+    plain_number = (F.col("campo") == "tema") & F.col("value").isin([str(i) for i in catalogs["tema"].ids])
+    return _mapped(spark, d, catalogs).where(~F.col("how").isin("missing", "exact") & ~plain_number).select("registro_id", "campo", "ref_id")
 
 
 # Other names of having no party.
@@ -88,8 +93,12 @@ def p6_usage(spark: SparkSession, d: str) -> DataFrame:
 LANGUAGES = {"es": "es", "spa": "es", "español": "es", "espanol": "es", "spanish": "es", "en": "en", "eng": "en", "english": "en", "ingles": "en", "inglés": "en"}
 
 
+#: Topics are aimed at by the corpus's shares raised to this power, so that rare topics gain; languages as the sources imply.
+TOPIC_POWER = 0.7
+
+
 def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
-    """Texts used, with their number of copies."""
+    """Texts used, with their number of copies: sources at their weights, topics flattened."""
     rows = table(spark, d, "mezcla_objetivo").limit(10_001).collect()
     if len(rows) > 10_000:
         raise ValueError("over 10000 sources")
@@ -99,7 +108,7 @@ def p7_mixed(spark: SparkSession, d: str) -> DataFrame:
     # the text itself goes no further than its digest and its length
     docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("digest"), "source", names[F.lower(F.trim("lang"))].alias("language"), "acta_id", token_count(F.col("text")).alias("tokens"))
     docs = docs.join(topic, "acta_id", "left")
-    return mix(docs, "doc_id", "digest", "tokens", "source", {r["source"]: r["peso"] for r in rows}, {r["source"]: r["tope_repeticiones"] for r in rows}, "language", "topic").withColumnsRenamed({"id": "doc_id", "size": "tokens"})
+    return mix(docs, "doc_id", "digest", "tokens", "source", {r["source"]: r["peso"] for r in rows}, {r["source"]: r["tope_repeticiones"] for r in rows}, "language", "topic", topic_targets=tempered(TOPIC_POWER)).withColumnsRenamed({"id": "doc_id", "size": "tokens"})
 
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
