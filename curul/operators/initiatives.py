@@ -13,6 +13,10 @@ from curul.plans.spread import spread
 from curul.plans.state import cut
 
 
+#: Share of the complete records that must bear a dependency out before it fills anything.
+LEAST_CONFIDENCE = 0.99
+
+
 def _ids(records: DataFrame, col: str, catalog: Catalog) -> DataFrame:
     """(col, col_id, col_missing) of every distinct non-null value."""
     v = records.select(col).where(F.col(col).isNotNull()).distinct()
@@ -49,7 +53,7 @@ def filled(ids: DataFrame) -> DataFrame:
     columns = ["person", "legislatura", "comision_id", "tema_id", "partido_id"]
     out = ids
     for target, group in (("partido_id", ["person", "legislatura"]), ("tema_id", ["comision_id"])):
-        mined = find_dependencies(ids, [c for c in columns if c != target], target)
+        mined = find_dependencies(ids, [c for c in columns if c != target], target, least_confidence=LEAST_CONFIDENCE)
         out = fill_missing(out, target, mined, group=None if group in mined else group)
         field = target.removesuffix("_id")
         allowed = (F.col(f"{target}_source") == "observed") | F.col(f"{field}_missing")
