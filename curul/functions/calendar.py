@@ -57,6 +57,20 @@ def date_of_serial(c: Column | str) -> Column:
     return F.when(n.between(20000, 80000), F.date_add(F.lit("1899-12-30").cast("date"), n))
 
 
+def date_of_words(c: Column | str) -> Column:
+    """"el [lunes] catorce de mayo de dos mil veinticuatro", or "de mil novecientos noventa y dos", anywhere in the text."""
+    from curul.functions.numbers_es import number_of
+
+    t = F.regexp_replace(fold(_col(c)), r"\s+", " ")
+    p = r"\bel (?:(?:lunes|martes|mierc\w*|jueves|viernes|sabado|domingo),? )?([a-z]+(?: y [a-z]+)?) de ([a-z]+) (?:de|del ano) (dos mil|mil novecientos) ([a-z]+(?: y [a-z]+)?)"
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), _got(t, p, 2))
+    day = F.when(_got(t, p, 1) == "primero", 1).otherwise(number_of(_got(t, p, 1)))
+    century = F.when(_got(t, p, 3) == "dos mil", 2000).otherwise(1900)
+    # a word after the year's own, as in "veinticuatro a las", isn't part of it
+    year = F.coalesce(number_of(_got(t, p, 4)), number_of(F.substring_index(_got(t, p, 4), " ", 1)))
+    return _date(century + year, F.nullif(month, F.lit(0)), day)
+
+
 def any_date(c: Column | str) -> Column:
     """The first form that reads: ISO, slashes, prose, spreadsheet number."""
     return F.coalesce(date_of_iso(c), date_of_slashes(c), date_of_prose(c), date_of_serial(c))
@@ -68,6 +82,30 @@ def prose_date(c: Column | str) -> Column:
     return F.concat(F.dayofmonth(d).cast("string"), F.lit(" de "), F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(d)), F.lit(" de "), F.year(d).cast("string"))
 
 
+def words_date(c: Column | str) -> Column:
+    """el catorce de mayo de dos mil veinticuatro; null before 1900 and after 2099."""
+    from curul.functions.numbers_es import words_of
+
+    d = _col(c)
+    century = F.when(F.year(d).between(1900, 1999), "mil novecientos").when(F.year(d).between(2000, 2099), "dos mil")
+    rest = F.pmod(F.year(d), F.lit(100))
+    year = F.when(rest == 0, century).otherwise(F.concat(century, F.lit(" "), words_of(rest)))
+    return F.concat(F.lit("el "), words_of(F.dayofmonth(d)), F.lit(" de "), F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(d)), F.lit(" de "), year)
+
+
+def format_date(c: Column | str, form: str) -> Column:
+    """prose (14 de mayo de 2024), slashes (14/05/24), slashes4 (14/05/2024), dots (14.5.24) or iso."""
+    d = _col(c)
+    return {"prose": lambda: prose_date(d), "slashes": lambda: F.date_format(d, "dd/MM/yy"), "slashes4": lambda: F.date_format(d, "dd/MM/yyyy"), "dots": lambda: F.date_format(d, "d.M.yy"), "iso": lambda: F.date_format(d, "yyyy-MM-dd")}[form]()
+
+
+def period_title(c: Column | str) -> Column:
+    """The heading of the period or recess a day falls in, as "Segundo Periodo Ordinario" or "Primer Receso"."""
+    s = period_or_recess(c)
+    nth = F.element_at(F.array(F.lit("Primer"), F.lit("Segundo"), F.lit("Tercer")), s["number"])
+    return F.concat(nth, F.when(s["kind"] == "periodo", " Periodo Ordinario").otherwise(" Receso"))
+
+
 def _month_day(c: Column | str) -> Column:
     return F.month(_col(c)) * 100 + F.dayofmonth(_col(c))
 
@@ -134,6 +172,15 @@ def delay_minutes(called: Column | str, begun: Column | str) -> Column:
     return F.floor(delay_seconds(called, begun) / 60)
 
 
+def called_or_estimated(called: Column | str, begun: Column | str) -> Column:
+    """(called, estimated, note): the time called for; where it isn't known, the full hour in which it began."""
+    c, b = _col(called), _col(begun)
+    return F.struct(
+        F.coalesce(c, F.floor(b / 3600).cast("int") * 3600).alias("called"), (c.isNull() & b.isNotNull()).alias("estimated"),
+        F.when(c.isNull() & b.isNotNull(), "La hora de cita es una estimación").when(c.isNull(), "Hora de cita no disponible").alias("note"),
+    )
+
+
 def duration_seconds(begun: Column | str, ended: Column | str, past_midnight: bool = True) -> Column:
     """Ended minus begun; past midnight it goes on into the next day unless told otherwise."""
     d = _col(ended) - _col(begun)
@@ -145,5 +192,12 @@ def clock(c: Column | str, hours: int = 24) -> Column:
     s = _col(c).cast("int")
     h, m, x = F.floor(s / 3600).cast("int"), F.floor(F.pmod(s, F.lit(3600)) / 60).cast("int"), F.pmod(s, F.lit(60))
     if hours == 24:
-        return F.format_string("%02d:%02d:%02d", h, m, x)
-    return F.format_string("%02d:%02d:%02d %s", F.pmod(h - 1, F.lit(12)) + 1, m, x, F.when(h < 12, "a.m.").otherwise("p.m."))
+        return F.when(s.isNotNull(), F.format_string("%02d:%02d:%02d", h, m, x))
+    return F.when(s.isNotNull(), F.format_string("%02d:%02d:%02d %s", F.pmod(h - 1, F.lit(12)) + 1, m, x, F.when(h < 12, "a.m.").otherwise("p.m.")))
+
+
+def span(c: Column | str, signed: bool = False) -> Column:
+    """Seconds as H:MM:SS of any number of hours; with ``signed`` a minus before negative ones, else they give null."""
+    s = F.abs(_col(c)).cast("bigint")
+    t = F.format_string("%d:%02d:%02d", F.floor(s / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60), F.pmod(s, F.lit(60)))
+    return F.when(_col(c) >= 0, t).when((_col(c) < 0) & F.lit(signed), F.concat(F.lit("-"), t))

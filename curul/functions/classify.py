@@ -18,7 +18,7 @@ ATTENDANCE_CODES = {"asistencia": 1, "retardo justificado": 2, "retardo injustif
 VOTE_CODES = {"favor": 1, "contra": 2, "abstencion": 3, "na": 0, "secreta": 4}
 # Texts in the errors of services, by kind, in the order in which they are looked for.
 ERROR_RULES = (
-    ("cuota_diaria_agotada", r"(?=.*(?:\b429\b|resource_exhausted|quota))(?=.*per ?day)"),
+    ("cuota_diaria_agotada", r"(?s)(?=.*(?:\b429\b|resource_exhausted|quota))(?=.*per ?day)"),
     ("credenciales_invalidas", r"api key not valid|api_key_invalid|api key expired|permission_denied|unauthenticated"),
     ("cuota_agotada", r"\b429\b|resource_exhausted|quota"),
     ("alta_demanda", r"\b(?:500|502|503|504)\b|unavailable|overloaded|internal|deadline_exceeded"),
@@ -51,6 +51,24 @@ def session_kind(c: Column | str) -> Column:
     return ordered(t, tuple((label, part) for part, label in SESSION_KINDS), F.trim(_col(c)))
 
 
+def session_kind_public(c: Column | str) -> Column:
+    """As ``session_kind``, with the ordinary session called public and white space collapsed in what is none."""
+    k = session_kind(c)
+    return F.when(k == "Ordinaria", "Pública Ordinaria").otherwise(F.regexp_replace(k, r"\s+", " "))
+
+
+def session_kind_key(c: Column | str) -> Column:
+    """The kind as part of a key: folded, hyphens for spaces; desconocida where there is no text."""
+    t = F.trim(F.regexp_replace(fold(F.coalesce(_col(c), F.lit(""))), r"\s+", " "))
+    key = F.regexp_replace(ordered(t, tuple((part, part) for part, _ in SESSION_KINDS), t), " ", "-")
+    return F.when(key == "", "desconocida").otherwise(key)
+
+
+def tells_of_a_vote(c: Column | str) -> Column:
+    """Whether a text is worth a costly reading for votes: it speaks of unanimity or of votes in favour."""
+    return F.coalesce(_col(c).rlike(r"(?iu)unanimidad de votos|votos? a favor"), F.lit(False))
+
+
 def attendance_code(c: Column | str) -> Column:
     """(code, raw): the code of the attendance word, and the text itself where it is none."""
     t = F.trim(fold(_col(c)))

@@ -10,6 +10,9 @@ from curul.functions.text import collapse_spaces, fold
 
 #: Words for a missing value, as a default; every call may name its own.
 NULL_WORDS = ("", "-", "--", "n/a", "n.a.", "n/d", "s/d", "null", "none", "nan", "sin información", "sin informacion")
+# What title pages and footers of gazettes repeat, besides the name of the state.
+_COVER = (r"H\. CONGRESO DEL ESTADO", r"Secretaría General", r"[A-Z]*TADOS UNIDOS MEXICA[A-Z]*", r"Marzo\.\s*Mes\s+de\s+las\s+Mujeres", r"Av\.\s+32\s+Oriente.*?72290", r"www\.congreso\w*\.gob\.mx")
+_PAGE = r"--- PAGE \d+ ---"
 #: Footers and page marks of gazettes.
 PAGE_NOISE = (r"(?i)--- page \d+ ---", r"(?i)\n?Pag\. *\d+\n?")
 
@@ -20,6 +23,14 @@ def null_words(c: Column | str, words: tuple[str, ...] = NULL_WORDS) -> Column:
     return F.when(~F.lower(F.trim(c)).isin(*words), c)
 
 
+def cover_noise(state: str = "PUEBLA", lined: bool = False) -> tuple[str, ...]:
+    """The patterns of title pages and footers. On one line the state's name goes however it is spaced, and the heading
+    ACTA; with lines kept, only the name in spaced letters, and page marks."""
+    any_case = lambda p: f"(?iu){p}"
+    name = (r"\s+" if lined else r"\s*").join(state)
+    return tuple(map(any_case, (_PAGE, _COVER[0], name, *_COVER[1:], r"Pag\.\s*\d+" if lined else "ACTA")))
+
+
 def without(c: Column | str, patterns: tuple[str, ...] = PAGE_NOISE, by: str = " ") -> Column:
     """Every match of each pattern, in order, replaced."""
     c = F.col(c) if isinstance(c, str) else c
@@ -33,9 +44,9 @@ def flat_text(c: Column | str, patterns: tuple[str, ...] = PAGE_NOISE) -> Column
     return collapse_spaces(without(c, patterns))
 
 
-def lined_text(c: Column | str, patterns: tuple[str, ...] = PAGE_NOISE) -> Column:
+def lined_text(c: Column | str, patterns: tuple[str, ...] = PAGE_NOISE, by: str = "\n") -> Column:
     """Without noise, lines kept, at most one empty line in a row."""
-    t = F.regexp_replace(without(c, patterns, "\n"), r"[ \t]+", " ")
+    t = F.regexp_replace(without(c, patterns, by), r"[ \t]+", " ")
     return F.regexp_replace(t, r"\n{3,}", "\n\n")
 
 
@@ -58,16 +69,14 @@ def convert(c: Column | str, kind: str, words: tuple[str, ...] = NULL_WORDS) ->
 def sniff_columns(df: DataFrame, columns: list[str], words: tuple[str, ...] = NULL_WORDS) -> DataFrame:
     """(column, kind, known): the narrowest of date, time, number and text that all known values read as.
 
-    One aggregate pass over all columns; a column without known values is empty."""
-    aggs = []
-    for c in columns:
-        v = null_words(F.col(c).cast("string"), words)
-        for kind, t in (("date", any_date(v)), ("time", seconds_of_day(v)), ("number", F.trim(v).try_cast("double"))):
-            aggs.append(F.coalesce(F.bool_and(F.when(v.isNotNull(), t.isNotNull())), F.lit(False)).alias(f"{c}|{kind}"))
-        aggs.append(F.count(v).alias(f"{c}|known"))
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.when(F.col(f"{c}|known") == 0, "empty").when(F.col(f"{c}|date"), "date").when(F.col(f"{c}|time"), "time").when(F.col(f"{c}|number"), "number").otherwise("text").alias("kind"), F.col(f"{c}|known").alias("known")) for c in columns]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    One aggregate pass over all columns' values, one below the other; a column without known values is empty."""
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")) for c in columns])
+    v = df.select(F.explode(values).alias("x")).select("x.column", null_words("x.text", words).alias("v")).where("v IS NOT NULL")
+    read = v.select("column", any_date("v").isNotNull().alias("date"), seconds_of_day("v").isNotNull().alias("time"), F.trim("v").try_cast("double").isNotNull().alias("number"))
+    kinds = read.groupBy("column").agg(*[F.bool_and(k).alias(k) for k in ("date", "time", "number")], F.count("*").alias("known"))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    kind = F.when(F.col("known").isNull(), "empty").when(F.col("date"), "date").when(F.col("time"), "time").when(F.col("number"), "number").otherwise("text")
+    return names.join(kinds, "column", "left").select("column", kind.alias("kind"), F.coalesce("known", F.lit(0)).cast("bigint").alias("known"))
 
 
 def rename_by_key(df: DataFrame, names: dict[str, str]) -> DataFrame:

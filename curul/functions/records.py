@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curul.functions.classify import VOTE_CODES
@@ -149,3 +149,77 @@ def topic_of(committees: Column, topics: dict[str, int], beginnings: dict[str, i
 
     known = F.filter(F.transform(committees, one), lambda t: t.isNotNull())
     return F.get(known, F.lit(0))
+
+
+def backoff_seconds(attempt: Column, base: float = 5.0, most: float | None = None) -> Column:
+    """base, 2 base, 4 base, ... for attempts 1, 2, 3, ...; never over ``most``."""
+    wait = F.lit(base) * F.pow(F.lit(2.0), attempt - 1)
+    return wait if most is None else F.least(wait, F.lit(most))
+
+
+def retry_delay(error: Column | str, otherwise: float = 5.0, most: float = 10.0) -> Column:
+    """Seconds to wait that an error text asks for, as "retryDelay: '7s'" or "retry in 7.5s", at most ``most``."""
+    said = F.coalesce(F.nullif(F.regexp_extract(_col(error), r"(?i)retryDelay['\"]?\s*:\s*['\"]?(\d+(?:\.\d+)?)s", 1), F.lit("")), F.nullif(F.regexp_extract(_col(error), r"(?i)retry in (\d+(?:\.\d+)?)s", 1), F.lit("")))
+    return F.least(F.coalesce(said.cast("double"), F.lit(otherwise)), F.lit(most))
+
+
+def guarded(rows: DataFrame, required: list[str]) -> DataFrame:
+    """Rows in which all required texts are there and not blank; rows without any value are left out with them."""
+    ok = F.lit(True)
+    for c in required:
+        ok = ok & F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
+    return rows.where(ok).dropna(how="all")
+
+
+def split_by(rows: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows that meet the predicate, and the others; one that is null counts as not met."""
+    p = F.coalesce(predicate, F.lit(False))
+    return rows.where(p), rows.where(~p)
+
+
+def is_one_of(c: Column | str, values: tuple[str, ...]) -> Column:
+    """Whether a folded, trimmed value is one of the given ones; null is none."""
+    return F.coalesce(F.trim(fold(_col(c))).isin(*map(fold_text, values)), F.lit(False))
+
+
+def sentence_case(text: Column | str, proper: tuple[str, ...] = ()) -> Column:
+    """Lower case with a capital at the beginning; the proper names given keep their form wherever they occur."""
+    t = collapse_spaces(F.lower(_col(text)))
+    t = F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1_000_000))
+    for name in sorted(proper, key=lambda x: (-len(x), x)):
+        t = F.replace(t, F.lit(name.lower()), F.lit(name))
+    return t
+
+
+# Words in the names of presenters that aren't persons, by part of a word.
+_OFFICES = "titular comisi junta camara presidente ayuntamiento congreso municipal coordinador fiscal tribunal auditor poder secretar".split()
+
+
+def short_presenter(name: Column | str) -> Column:
+    """A person's first name; offices and bodies in full."""
+    t = F.trim(_col(name))
+    return F.when(fold(t).rlike("|".join(_OFFICES)), t).otherwise(F.substring_index(t, " ", 1))
+
+
+def joined_note(items: Column, head: str = "Concentrada: ") -> Column:
+    """From an array of (day, presenter): "Concentrada: 10.3.22 Mónica, 20.10.22 Karla y 10.4.25 Ana", by day; null where
+    there are fewer than two."""
+    from curul.functions.cleaning import join_with_y
+
+    parts = F.transform(F.array_sort(items), lambda x: F.concat_ws(" ", F.date_format(x["day"], "d.M.yy"), short_presenter(x["presenter"])))
+    return F.when(F.size(items) > 1, F.concat(F.lit(head), join_with_y(parts)))
+
+
+def unique_names(names: DataFrame, name: str, order: str, most: int = 31) -> DataFrame:
+    """Adds ``sheet``: the safe name, with " (2)", " (3)" ... where an earlier row has it; never over ``most`` characters."""
+    from curul.functions.cleaning import safe_name
+
+    n = F.row_number().over(Window.partitionBy("__safe").orderBy(order))
+    mark = F.when(F.col("__n") == 1, "").otherwise(F.concat(F.lit(" ("), F.col("__n"), F.lit(")")))
+    r = names.withColumn("__safe", safe_name(F.col(name), most)).withColumn("__n", n).withColumn("__mark", mark)
+    return r.withColumn("sheet", F.concat(F.expr(f"left(`__safe`, {most} - length(`__mark`))"), "__mark")).drop("__safe", "__n", "__mark")
+
+
+def cell_text(c: Column | str, df_type: str = "") -> Column:
+    """A nested value as JSON text."""
+    return F.to_json(_col(c))

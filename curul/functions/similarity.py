@@ -22,11 +22,12 @@ def title_words(c: Column) -> Column:
     return F.filter(words(c), lambda w: (F.length(w) > 2) & ~w.isin(*TITLE_STOP))
 
 
-def stems(c: Column, length: int = 6) -> Column:
-    """Distinct beginnings of the folded words, one-letter words left out unless they are digits."""
+def stems(c: Column, length: int = 6, stop: tuple[str, ...] = TITLE_STOP) -> Column:
+    """Distinct beginnings of the folded words, one-letter words left out unless they are digits, and stop words."""
     from curul.functions.text import words
 
-    kept = F.filter(words(c), lambda w: ((F.length(w) > 1) | w.rlike(r"^\d$")) & ~w.isin(*TITLE_STOP))
+    long = lambda w: (F.length(w) > 1) | w.rlike(r"^\d$")
+    kept = F.filter(words(c), lambda w: long(w) & ~w.isin(*stop) if stop else long(w))
     return F.array_distinct(F.transform(kept, lambda w: F.substring(w, 1, length)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,3 +39,9 @@ def migrate_by_date(records: DataFrame, documents: DataFrame, date_col: str, doc
     """Records with the first document of their date; those of dates without one go to the orphan document (null)."""
     first = documents.groupBy(date_col).agg(F.min(doc_col).alias(doc_col))
     return records.join(first, date_col, "left")
+
+
+def pending_after(rows: DataFrame, seq: str, stop: int, predicate: Column) -> DataFrame:
+    """(rows_after, pending_after): how many rows follow the one at which work stopped, and how many still need it."""
+    after = F.col(seq) > stop
+    return rows.agg(F.count_if(after).alias("rows_after"), F.count_if(after & F.coalesce(predicate, F.lit(False))).alias("pending_after"))

@@ -1,13 +1,12 @@
-"""Joins with the reference's semantics: last wins, tie-breaks, as-of, bands, containment, one-to-one assignment."""
+"""Joins of records: last wins, tie-breaks, as-of, bands, containment, one-to-one assignment."""
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curul.operators.matching import greedy_matching
+
 
 def last_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key, the last by order; what a dictionary filled in that order holds."""
@@ -102,27 +101,15 @@ def greedy_assignment(pairs: DataFrame, block: list[str], i: str, j: str, score:
     """(block..., i, j, similarity): one-to-one pairs of each block, taken from the highest score down.
 
     Pairs below ``least`` are not taken (``least_single`` in blocks of one by one). Ties fall to the higher
-    similarity, then the larger i, then the larger j. A block is one task's work: blocks are days, whose size the
-    data bounds; pairs below both limits are dropped before they are gathered.
+    similarity, then the larger i, then the larger j. Pairs below both limits are dropped first; no task has a whole
+    block (see ``greedy_matching``).
     """
     sized = pairs.where(F.col(similarity) >= min(least, least_single))
     n = pairs.groupBy(*block).agg((F.count_distinct(i).alias("__ni")), F.count_distinct(j).alias("__nj"))
     sized = sized.join(n, block)
     sized = sized.where((F.col(similarity) >= least) | ((F.col("__ni") == 1) & (F.col("__nj") == 1) & (F.col(similarity) >= least_single)))
-    cols = [*block, i, j, similarity]
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        used_i, used_j, out = set(), set(), []
-        for r in pdf.sort_values([score, similarity, i, j], ascending=False).itertuples(index=False):
-            a, b = getattr(r, i), getattr(r, j)
-            if a not in used_i and b not in used_j:
-                used_i.add(a)
-                used_j.add(b)
-                out.append(tuple(getattr(r, c) for c in cols))
-        return pd.DataFrame(out, columns=cols)
-
-    schema = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in cols)
-    return sized.select(*cols, score).groupBy(*block).applyInPandas(pick, schema)
+    order = F.struct(F.col(score), F.col(similarity), F.col(i), F.col(j))
+    return greedy_matching(sized.select(*block, i, j, similarity, score), [*block, i], [*block, j], order, F.max).select(*block, i, j, similarity)
 
 
 def coalesce_merge(base: DataFrame, others: list[DataFrame], key: str, fields: list[str]) -> DataFrame:
@@ -151,8 +138,3 @@ def fuzzy_lookup(left: DataFrame, right: DataFrame, left_col: str, right_col: st
     near = pair.where(F.length("__a") * 2 * least <= (F.length("__a") + F.length("__b")) * 1.0 + 1e-9).withColumn("ratio", sequence_ratio("__a", "__b")).where(F.col("ratio") >= least)
     best = near.groupBy("left").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "right")).alias("m")).select("left", F.col("m.right").alias("right"), (-F.col("m.r")).alias("ratio"))
     return exact.unionByName(rest.select("left").join(best, "left", "left").select("left", "right", "ratio"))
-
-
-def matching_ratio(a: str, b: str) -> float:
-    """The sequence ratio, for tests."""
-    return difflib.SequenceMatcher(None, a, b).ratio()

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curul.functions.similarity import stems
+from curul.operators.matching import greedy_matching
 from curul.plans.state import cut
 
 # Events and records that one task compares.
@@ -63,29 +62,58 @@ def candidate_links(events: DataFrame, event: str, event_day: str, event_text: s
     return a.groupBy("be", "br").cogroup(b.groupBy("be", "br")).applyInPandas(compare, schema)
 
 
+def weighted_dice_links(left: DataFrame, right: DataFrame, left_id: str, right_id: str, stems_col: str, least: float) -> DataFrame:
+    """(left, right, score): pairs whose stems are alike at or above ``least`` by Dice weighted with inverse document
+    frequency, ln((n + 1) / (df + 0.5)) over the right side; a stem that it lacks weighs as one that no document has.
+
+    Only pairs that share a stem of their prefix are compared, and none is lost: with stems from rare to common, a pair
+    at ``least`` must share one among the left text's first stems, up to where the rest weighs under least / 2 of it.
+    """
+    n = right.count()
+    df = right.select(F.explode(stems_col).alias("stem")).groupBy("stem").agg(F.count("*").alias("df"))
+    weight = lambda c: F.log((F.lit(n) + 1) / (F.coalesce(c, F.lit(0)) + 0.5))
+
+    def weighed(rows: DataFrame, i: str) -> DataFrame:
+        return rows.select(F.col(i).alias("i"), F.explode(stems_col).alias("stem")).join(df, "stem", "left").select("i", "stem", weight(F.col("df")).alias("w"))
+
+    def whole(long: DataFrame) -> DataFrame:
+        return long.groupBy("i").agg(F.collect_list(F.struct("stem", "w")).alias("s"), F.sum("w").alias("whole"))
+
+    la, lb = cut(weighed(left, left_id)), cut(weighed(right, right_id))
+    a, b = whole(la), whole(lb)
+    # twice the common weight is at least least (A + B), and the common weight is at most B, so it is at least least / (2 - least) A
+    own = Window.partitionBy("i")
+    earlier = F.coalesce(F.sum("w").over(own.orderBy(F.desc("w"), "stem").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    prefix = la.withColumns({"earlier": earlier, "all": F.sum("w").over(own)}).where(F.col("all") - F.col("earlier") >= least / (2 - least) * F.col("all") - 1e-9)
+    p = prefix.select(F.col("i").alias("left"), "stem").join(lb.select(F.col("i").alias("right"), "stem"), "stem")
+    p = p.select("left", "right").distinct().join(a.select(F.col("i").alias("left"), F.col("s").alias("sa"), F.col("whole").alias("wa")), "left").join(b.select(F.col("i").alias("right"), F.col("s").alias("sb"), F.col("whole").alias("wb")), "right")
+    common = F.aggregate(F.array_intersect("sa", "sb"), F.lit(0.0), lambda t, y: t + y["w"])
+    return p.select("left", "right", F.coalesce(F.try_divide(2 * common, F.col("wa") + F.col("wb")), F.lit(0.0)).alias("score")).where(F.col("score") >= least)
+
+
 def link_in_order(pairs: DataFrame, group: list[str], day: str, event: str, record: str, similarity: str) -> DataFrame:
     """(group..., day, event, record, similarity): day by day, the best pairs first, each event and record once a group.
 
-    A record linked on one day is gone on later days. Ties fall to the smaller event, then the smaller record. Pairs are
-    sorted by Spark and read as they come, so a task holds what it has linked, not the pairs. An empty ``group`` is one
-    order over all pairs.
+    A record linked on one day is gone on later days. Ties fall to the smaller event, then the smaller record. An empty
+    ``group`` is one order over all pairs. No task goes through a group's pairs: see ``greedy_matching``.
     """
     cols = [*group, day, event, record, similarity]
+    order = F.struct(F.col(day), (-F.col(similarity)).alias("s"), F.col(event), F.col(record))
+    return greedy_matching(pairs.select(*cols), [*group, event], [*group, record], order)
+
 
-    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gone_e, gone_r, now = set(), set(), None
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False, name=None):
-                key, (e, r) = tuple(None if pd.isna(x) else x for x in row[: len(group)]), row[len(group) + 1 : len(group) + 3]
-                if key != now:
-                    gone_e, gone_r, now = set(), set(), key
-                if e not in gone_e and r not in gone_r:
-                    gone_e.add(e)
-                    gone_r.add(r)
-                    out.append(row)
-            yield pd.DataFrame(out, columns=cols)
-
-    schema = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in cols)
-    together = pairs.select(*cols).repartition(*group) if group else pairs.select(*cols).repartition(1)
-    return together.sortWithinPartitions(*group, day, F.col(similarity).desc(), event, record).mapInPandas(link, schema)
+def review_list(pairs: DataFrame, linked: DataFrame, events: DataFrame, event: str, record: str, similarity: str, low: float = 0.7, near: float = 0.05, many: int = 8) -> DataFrame:
+    """(event, reason, similarity): what of a linkage a person should look at.
+
+    low_similarity: linked below ``low``. near_tie: another record within ``near`` of the one linked. ambiguous: more
+    than ``many`` records within a tenth of the best. unlinked: no record. One aggregation over the pairs of each event.
+    """
+    top = pairs.groupBy(event).agg(F.max(similarity).alias("__top"))
+    close = pairs.join(top, event).groupBy(event).agg(F.count_if(F.col(similarity) >= 0.9 * F.col("__top")).alias("__many"))
+    near_by = pairs.join(linked.select(event, F.col(record).alias("__own"), F.col(similarity).alias("__got")), event).where(F.col(record) != F.col("__own")).groupBy(event).agg(F.count_if(F.abs(F.col(similarity) - F.col("__got")) < near).alias("__near"))
+    all_ = events.select(event).distinct().join(linked.select(event, F.col(similarity).alias("__got")), event, "left").join(close, event, "left").join(near_by, event, "left")
+    reasons = F.array_compact(F.array(
+        F.when(F.col("__got") < low, F.lit("low_similarity")), F.when(F.col("__got").isNotNull() & (F.col("__near") > 0), F.lit("near_tie")),
+        F.when(F.col("__many") > many, F.lit("ambiguous")), F.when(F.col("__got").isNull(), F.lit("unlinked")),
+    ))
+    return all_.select(event, F.explode(reasons).alias("reason"), F.col("__got").alias(similarity))

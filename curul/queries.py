@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from curul.functions import calendar as cal
 from curul.functions import classify, cleaning, records
-from curul.functions.numbers_es import WORDS, number_of, words_of
-from curul.functions.similarity import canonical_form, containment, dice, jaccard, stems, title_words
+from curul.functions.similarity import canonical_form, containment, dice, jaccard
 from curul.functions.text import fold, words
 from curul.operators import aggregates as agg
 from curul.operators import documents as docs
@@ -184,13 +183,6 @@ def time_delay_duration(spark: SparkSession, d: str) -> DataFrame:
     return s.select("sesion_id", "called", "begun", cal.delay_seconds("called", "begun").alias("delay_s"), cal.delay_minutes("called", "begun").alias("delay_min"), cal.duration_seconds("begun", "ended").alias("duration_s"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_quantity::INT AS n FROM lineitem""")
-def number_words(spark: SparkSession, d: str) -> DataFrame:
-    """Quantities written out and read back."""
-    li = table(spark, d, "lineitem")
-    return li.select("l_orderkey", "l_linenumber", number_of(words_of(F.col("l_quantity"))).alias("n"))
-
-
 # --- aggregates -------------------------------------------------------------------------------------------------
 
 _TYPES = ["signup", "purchase", "error", "view", "click"]
@@ -218,10 +210,14 @@ def vote_tally(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
     SELECT registro_id, a_favor + contra + abstenciones + ausentes AS total, (a_favor + contra + abstenciones) / nullif(a_favor + contra + abstenciones + ausentes, 0) AS participation,
-        greatest(a_favor, contra, abstenciones) / nullif(a_favor + contra + abstenciones, 0) AS unity FROM actas_extraidas_ia WHERE a_favor IS NOT NULL AND contra IS NOT NULL AND abstenciones IS NOT NULL AND ausentes IS NOT NULL""")
+        CASE WHEN a_favor + contra + abstenciones IS NOT NULL THEN greatest(a_favor, contra, abstenciones) / nullif(a_favor + contra + abstenciones, 0) END AS unity
+    FROM (SELECT registro_id, CASE WHEN registro_id % 9 <> 0 THEN a_favor ELSE 0 END AS a_favor, CASE WHEN registro_id % 9 <> 0 THEN contra ELSE 0 END AS contra, CASE registro_id % 9 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE abstenciones END AS abstenciones, CASE WHEN registro_id % 18 <> 0 THEN ausentes ELSE 0 END AS ausentes FROM actas_extraidas_ia)""")
 def participation_unity(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "actas_extraidas_ia").dropna(subset=["a_favor", "contra", "abstenciones", "ausentes"])
-    return a.select("registro_id", *[c.alias(n) for n, c in agg.participation(*[F.col(c) for c in ("a_favor", "contra", "abstenciones", "ausentes")]).items()])
+    """Ratios of all votes; a ninth of them without votes and some without a number, so that ratios over nothing occur."""
+    k = F.pmod("registro_id", F.lit(9))
+    none = lambda c: F.when(k != 0, F.col(c)).otherwise(0)
+    a = table(spark, d, "actas_extraidas_ia").select("registro_id", none("a_favor").alias("f"), none("contra").alias("c"), F.when(k != 1, none("abstenciones")).alias("a"), F.when(F.pmod("registro_id", F.lit(18)) != 0, F.col("ausentes")).otherwise(0).alias("x"))
+    return a.select("registro_id", *[c.alias(n) for n, c in agg.participation(*[F.col(c) for c in "fcax"]).items()])
 
 
 _CODES = ["A favor", "En contra", "Abstención", "Ausente", "Secreto"]
@@ -335,11 +331,6 @@ def typed_convert(spark: SparkSession, d: str) -> DataFrame:
     return r.select("registro_id", F.col("c.value").cast("double").alias("value"), "c.status", "c.raw")
 
 
-@query("""SELECT * FROM (VALUES ('fecha', 'date'), ('hora_de_cita', 'time'), ('numero_de_sesion', 'number'), ('sesion_letra', 'text'), ('fecha_gaceta_parlamentaria', 'empty')) AS t("column", kind)""")
-def column_sniff(spark: SparkSession, d: str) -> DataFrame:
-    return cleaning.sniff_columns(table(spark, d, "sesiones"), ["fecha", "hora_de_cita", "numero_de_sesion", "sesion_letra", "fecha_gaceta_parlamentaria"]).drop("known")
-
-
 @query("""SELECT event_id, (props::JSON->>'k')::INT AS k FROM events""")
 def json_props(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
@@ -444,9 +435,33 @@ def speaker_segments(spark: SparkSession, d: str) -> DataFrame:
     return docs.segments(table(spark, d, "documents"), "doc_id", "text", r"(PRESIDENCIA|SECRETARÍA):").select("doc_id", "position", "anchor", F.length("text").alias("chars"))
 
 
-@query()
+_SPEECH = "(?i)(?:la|el)\\s+(?:dip\\.|diputad[oa])\\s+((?:[A-ZÁÉÍÓÚÑ][0-9a-z_áéíóúñü]+\\s+)+)(?:present[óo]|propuso|solicit[óo])\\s+([^.;\\n]+)"
+
+
+@query(f"""
+    SELECT doc_id, trim(unnest(regexp_extract_all(text, '{_SPEECH}', 1))) AS presenter, trim(unnest(regexp_extract_all(text, '{_SPEECH}', 2))) AS subject FROM documents""")
+def speeches(spark: SparkSession, d: str) -> DataFrame:
+    """What deputies presented, proposed or asked for, by sentence."""
+    return docs.speeches(table(spark, d, "documents"), "doc_id", "text").select("doc_id", "presenter", "subject")
+
+
+@query("""
+    SELECT registro_id, k::INT AS position, CASE k WHEN 0 THEN 'item' WHEN 1 THEN 'floor' WHEN 4 THEN 'election' ELSE 'group' END AS grammar, CASE WHEN k = 0 AND registro_id % 2 = 0 THEN 'INICIATIVA DE DECRETO' ELSE 'PUNTO DE ACUERDO' END AS kind,
+        CASE WHEN k = 0 THEN 'LA DIPUTADA EVA NUMERO ' || registro_id ELSE 'EVA SOL' END AS presenter, CASE k WHEN 0 THEN 'SE REFORMA LA LEY ' || registro_id WHEN 1 THEN 'SE EXHORTA A TODOS' WHEN 2 THEN 'SE PIDE LUZ' WHEN 3 THEN 'SE PIDE PAN' ELSE 'LA ELECCION DE LA MESA' END AS title,
+        CASE k WHEN 0 THEN ['UNO', 'DOS', 'TRES', 'TREINTA Y UNO'][(registro_id % 4 + 1)::INT] ELSE 'AG' END AS point, CASE k WHEN 0 THEN 'COMISION DE SALUD' WHEN 2 THEN 'COMISION DE ENERGIA' WHEN 3 THEN 'COMISION DE ABASTO' END AS referral
+    FROM iniciativas_pa, range(5) AS t(k)""")
 def presentations(spark: SparkSession, d: str) -> DataFrame:
-    return docs.presentations(table(spark, d, "documents"), "doc_id", "text")
+    """The items of minutes written from the records: one of each grammar, read back from the whole text."""
+    i = F.col("registro_id")
+    point = F.get(F.array(*[F.lit(w) for w in ("UNO", "DOS", "TRES", "TREINTA Y UNO")]), F.pmod(i, F.lit(4)).cast("int"))
+    kind = F.when(F.pmod(i, F.lit(2)) == 0, "LA INICIATIVA DE DECRETO").otherwise("EL PUNTO DE ACUERDO")
+    text = F.concat(
+        F.lit("En el PUNTO "), point, F.lit(" DEL ORDEN DEL DÍA se dio\nlectura a "), kind, F.lit(" QUE PRESENTA LA DIPUTADA EVA NÚMERO "), i, F.lit(", POR EL QUE SE REFORMA LA LEY "), i,
+        F.lit("; TURNÁNDOSE A LA COMISIÓN DE SALUD, PARA SU ESTUDIO. EN EL ÚLTIMO PUNTO DEL ORDEN DEL DÍA, ASUNTOS GENERALES. EN USO DE LA PALABRA LA DIPUTADA EVA SOL, PRESENTÓ EL PUNTO DE ACUERDO POR EL CUAL SE EXHORTA A TODOS; EN USO DE SU DERECHO. "),
+        F.lit("PUNTOS DE ACUERDO PRESENTADOS POR EVA SOL, EN LOS TÉRMINOS SIGUIENTES: POR EL QUE SE PIDE LUZ, A LA COMISIÓN DE ENERGÍA, PARA SU ESTUDIO; Y EL QUE SE PIDE PAN, A LA COMISIÓN DE ABASTO. NO HABIENDO MÁS. "),
+        F.lit("SE PROCEDIÓ A LA ELECCIÓN DE LA MESA; ACTO SEGUIDO, EN USO DE LA PALABRA LA DIPUTADA EVA SOL, PROPUSO."),
+    )
+    return docs.presentations(table(spark, d, "iniciativas_pa").select("registro_id", text.alias("text")), "registro_id", "text").drop("start")
 
 
 # --- joins ------------------------------------------------------------------------------------------------------
@@ -597,41 +612,11 @@ def dice_top_one(spark: SparkSession, d: str) -> DataFrame:
     return joins.top_one(p, ["c1"], F.round(dice(F.col("a"), F.col("b")), 9), ["comision_id"]).select("c1", "comision_id", "score")
 
 
-@query("""
-    WITH t AS (SELECT registro_id, 'negative_days' AS rule FROM iniciativas_pa WHERE dias_aprobacion < 0 UNION ALL SELECT registro_id, 'approved_without_date' FROM iniciativas_pa WHERE estatus = 'Aprobada' AND fecha_aprobacion IS NULL
-        UNION ALL SELECT registro_id, 'date_without_approval' FROM iniciativas_pa WHERE estatus <> 'Aprobada' AND fecha_aprobacion IS NOT NULL
-        UNION ALL SELECT registro_id, 'over_a_year' FROM iniciativas_pa WHERE dias_aprobacion > 365 UNION ALL SELECT registro_id, 'approved_without_votes' FROM iniciativas_pa WHERE estatus = 'Aprobada' AND votos_f IS NULL
-        UNION ALL SELECT registro_id, 'days_differ' FROM iniciativas_pa WHERE dias_aprobacion <> date_diff('day', try_strptime(fecha_pres, '%d/%m/%y'), try_strptime(fecha_aprobacion, '%d/%m/%y')))
-    SELECT * FROM t""")
-def quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    gap = F.datediff(cal.any_date("fecha_aprobacion"), cal.any_date("fecha_pres"))
-    approved = F.col("estatus") == "Aprobada"
-    rules = {"negative_days": F.col("dias_aprobacion") < 0, "approved_without_date": approved & F.col("fecha_aprobacion").isNull(), "date_without_approval": ~approved & F.col("fecha_aprobacion").isNotNull(), "over_a_year": F.col("dias_aprobacion") > 365, "approved_without_votes": approved & F.col("votos_f").isNull(), "days_differ": F.col("dias_aprobacion") != gap}
-    return quality.violations(table(spark, d, "iniciativas_pa"), ["registro_id"], rules)
-
-
-@query("""
-    WITH s AS (SELECT sesion_id, porcentaje_abordados AS stored, 100.0 * asuntos_abordados / nullif(asuntos_programados, 0) AS computed FROM sesiones)
-    SELECT sesion_id, 'porcentaje' AS field, stored, round(computed, 6) AS computed FROM s WHERE (stored IS NULL) <> (computed IS NULL) OR abs(stored - computed) > 0.06""")
-def stored_derived(spark: SparkSession, d: str) -> DataFrame:
-    c = F.try_divide(100.0 * F.col("asuntos_abordados"), F.col("asuntos_programados"))
-    return quality.stored_against_computed(table(spark, d, "sesiones"), ["sesion_id"], {"porcentaje": (F.col("porcentaje_abordados"), c, 0.06)}).withColumn("computed", F.round("computed", 6))
-
-
 @query("""SELECT unnest(['partido', 'tema', 'c1']) AS "column", unnest([count(*) - count(partido), count(*) - count(tema), count(*) - count(c1)]) AS missing, count(*) AS rows FROM iniciativas_pa""")
 def missing_by_column(spark: SparkSession, d: str) -> DataFrame:
     return quality.missing_by_column(table(spark, d, "iniciativas_pa"), ["partido", "tema", "c1"])
 
 
-@query(f"""
-    WITH o AS (SELECT DISTINCT ON (votacion_id) votacion_id, votaciones FROM votaciones ORDER BY votacion_id), t AS (SELECT votacion_id, count(*) FILTER ({_KIND} = 'favor') AS n FROM (SELECT votacion_id, unnest(votaciones, max_depth := 2) FROM o) GROUP BY 1)
-    SELECT votacion_id, a_favor, n FROM (SELECT DISTINCT votacion_id, a_favor FROM votaciones) JOIN t USING (votacion_id) WHERE a_favor <> n""")
-def declared_totals(spark: SparkSession, d: str) -> DataFrame:
-    """Votes whose stored number in favour isn't that of the ballots."""
-    v = table(spark, d, "votaciones").select("votacion_id", "a_favor", F.size(F.filter("votaciones", lambda b: classify.vote_kind(b["voto"]) == "favor")).cast("bigint").alias("n")).distinct()
-    return v.where("a_favor <> n")
-
-
 @query()
 def vote_linkage(spark: SparkSession, d: str) -> DataFrame:
     """Votes linked to earlier initiatives of like text, each once, in order of time."""
@@ -658,12 +643,11 @@ def fuzzy_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-    WITH w AS (SELECT registro_id, list_filter({_SET.format('titulo')}, lambda x: length(x) > 2) AS a, list_filter({_SET.format('tema')}, lambda x: length(x) > 2) AS b FROM actas_extraidas_ia WHERE titulo IS NOT NULL AND tema IS NOT NULL AND regexp_full_match(titulo, '[ -~áéíóúüñÁÉÍÓÚÜÑ«»“”…º°ª²½—]*'))
+    WITH w AS (SELECT registro_id, list_filter({_SET.format('titulo')}, lambda x: length(x) > 2) AS a, list_filter({_SET.format('tema')}, lambda x: length(x) > 2) AS b FROM actas_extraidas_ia WHERE titulo IS NOT NULL AND tema IS NOT NULL)
     SELECT registro_id, coalesce(len(list_intersect(a, b)) / nullif(len(list_distinct(list_concat(a, b))), 0), 0) AS jaccard, coalesce(len(list_intersect(a, b)) / nullif(least(len(a), len(b)), 0), 0) AS containment FROM w""")
 def set_similarities(spark: SparkSession, d: str) -> DataFrame:
-    """The titles that SQL can fold; ``set_similarities_all`` has all of them."""
-    r = table(spark, d, "actas_extraidas_ia").where("titulo IS NOT NULL AND tema IS NOT NULL").where(F.col("titulo").rlike("^[ -~áéíóúüñÁÉÍÓÚÜÑ«»“”…º°ª²½—]*$"))
-    return _set_similarities(r)
+    """Every title with its topic, characters as they are; ``set_similarities_all`` brings them to one form first."""
+    return _set_similarities(table(spark, d, "actas_extraidas_ia").where("titulo IS NOT NULL AND tema IS NOT NULL"))
 
 
 @query()
@@ -728,17 +712,6 @@ def line_predicate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", records.any_line("text", r"\bsolicit").alias("asks"), records.document_id(url).alias("number"))
 
 
-@query("""
-    SELECT registro_id, list_count(list_filter(list_transform([c1, c2, c3], lambda x: CASE lower(strip_accents(trim(x))) WHEN 'vivienda digna' THEN 11 WHEN 'asuntos electorales' THEN 4 WHEN 'pesca y acuacultura' THEN 12 END), lambda t: t IS NOT NULL)) > 0 AS known,
-        list_filter(list_transform([c1, c2, c3], lambda x: CASE lower(strip_accents(trim(x))) WHEN 'vivienda digna' THEN 11 WHEN 'asuntos electorales' THEN 4 WHEN 'pesca y acuacultura' THEN 12 END), lambda t: t IS NOT NULL)[1] AS topic
-    FROM iniciativas_pa WHERE coalesce(lower(strip_accents(c1)), '') NOT LIKE 'comi%' AND coalesce(lower(strip_accents(c2)), '') NOT LIKE 'comi%'""")
-def topic_by_committee(spark: SparkSession, d: str) -> DataFrame:
-    """Three topics of committees written without heading; ``topic_by_committee_all`` has all."""
-    t = records.topic_of(F.array("c1", "c2", "c3"), {"Vivienda Digna": 11, "Asuntos Electorales": 4, "Pesca y Acuacultura": 12})
-    r = table(spark, d, "iniciativas_pa").where(~F.coalesce(fold("c1"), F.lit("")).like("comi%") & ~F.coalesce(fold("c2"), F.lit("")).like("comi%"))
-    return r.select("registro_id", t.isNotNull().alias("known"), t.alias("topic"))
-
-
 # The topic of each committee, the most frequent one of the records with both written as in their lists.
 COMMITTEE_TOPICS = {
     "Hacienda Pública y Cuenta Municipal": 7, "Presupuesto, Deuda y Financiamiento": 7, "Salud y Asistencia Médica": 6, "Educación Básica y Superior": 8, "Cultura Popular y Artesanías": 8, "Ciencia, Innovación y Humanidades": 8, "Medio Natural y Acción Climática": 5, "Bosques, Aguas y Suelos": 5,
@@ -750,8 +723,15 @@ COMMITTEE_TOPICS = {
 }
 
 
-@query()
-def topic_by_committee_all(spark: SparkSession, d: str, topics: dict[str, int] = COMMITTEE_TOPICS) -> DataFrame:
+_TOPIC_MAP = "MAP {" + ", ".join(f"lower(strip_accents('{k}')): {v}" for k, v in COMMITTEE_TOPICS.items()) + "}"
+_COMMITTEE = "trim(regexp_replace(lower(strip_accents(x)), '^(?:comision|comite) (?:de )?(?:la |las |los )?', ''))"
+
+
+@query(f"""
+    WITH t AS (SELECT registro_id, descripcion, list_filter(list_transform([c1, c2, c3, c4, c5, c6], lambda x: coalesce({_TOPIC_MAP}[{_COMMITTEE}], CASE WHEN {_COMMITTEE} LIKE 'agenda 2030%' THEN 5 END)), lambda t: t IS NOT NULL)[1] AS topic FROM iniciativas_pa),
+    p AS (SELECT registro_id, CASE WHEN contains(lower(strip_accents(descripcion)), 'codigo penal') THEN 14 ELSE topic END AS topic FROM t)
+    SELECT registro_id, topic IS NOT NULL AS known, topic FROM p""")
+def topic_by_committee(spark: SparkSession, d: str, topics: dict[str, int] = COMMITTEE_TOPICS) -> DataFrame:
     """The topic of every record by its committees, with or without heading: that of the penal code where the text names
     it, else of the first committee that has one."""
     t = records.topic_of(F.array("c1", "c2", "c3", "c4", "c5", "c6"), topics, {"agenda 2030": 5})
@@ -759,6 +739,9 @@ def topic_by_committee_all(spark: SparkSession, d: str, topics: dict[str, int] =
     return table(spark, d, "iniciativas_pa").select("registro_id", t.isNotNull().alias("known"), t.alias("topic"))
 
 
+topic_by_committee_all = QUERIES["topic_by_committee_all"] = topic_by_committee
+
+
 @query("""
     SELECT legislatura, min(try_strptime(fecha_pres, '%d/%m/%y'))::DATE::VARCHAR AS oldest, max(length(descripcion))::INT AS longest, max(len(list_filter([c1, c2, c3, c4, c5, c6], lambda x: x IS NOT NULL)))::INT AS most_slots FROM iniciativas_pa GROUP BY 1""")
 def extremes(spark: SparkSession, d: str) -> DataFrame:

@@ -27,10 +27,16 @@ def session_counts(stream: DataFrame, at: str, keys: list[str], gap: str, late:
 
 
 def run_to_table(stream: DataFrame, out: str, checkpoint: str, mode: str = "complete") -> None:
-    """Processes all that is there, replacing the table with the newest full result (complete), or adding (append)."""
+    """Processes all that is there, replacing the table with the newest full result (complete), or adding (append).
+
+    What a batch adds goes to a folder of its number, so a batch that is run again after a failure replaces itself. In
+    append mode windows leave the state as the watermark passes them."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(out)
+        else:
+            batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -39,16 +45,13 @@ def run_to_table(stream: DataFrame, out: str, checkpoint: str, mode: str = "comp
 def stream_upsert(stream: DataFrame, state: str, checkpoint: str, key: str, status: str, order: list[str]) -> None:
     """Merges all that is there into a state table of one row a key; a finished entry is never replaced by a failed one.
 
-    The table is written to a new folder by batch number and ``current`` names the newest, so a batch that is run
-    again after a failure gives the same table."""
+    The table is written to a new folder by batch number, so a batch that is run again after a failure gives the same
+    table; the newest is that of the highest number. A previous table that can't be read raises: only the very first
+    batch begins with an empty state."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = f"{state}/v{number - 1}"
-        try:
-            before = spark.read.parquet(old)
-        except Exception:  # noqa: BLE001  first batch
-            before = batch.limit(0)
+        before = spark.read.parquet(f"{state}/v{number - 1}") if number else batch.limit(0)
         upsert_by_status(before, batch, key, status, order).write.mode("overwrite").parquet(f"{state}/v{number}")
 
     q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
