@@ -17,8 +17,8 @@ from curul.operators import incremental as inc
 from curul.operators import joins, numbering, quality
 from curul.operators.imputation import mine_dependencies
 from curul.operators.initiatives import filled, filled_values, identified
-from curul.operators.linkage import candidate_links, link_in_order
-from curul.plans.state import shared_folder
+from curul.operators.linkage import candidate_links, link_in_order, review_list
+from curul.plans.state import cut, shared_folder
 from curul.sources.envelopes import union_all
 from curul.sources.tables import table
 from curul.streaming.tables import read_growing, run_to_table, window_counts
@@ -617,16 +617,28 @@ def missing_by_column(spark: SparkSession, d: str) -> DataFrame:
     return quality.missing_by_column(table(spark, d, "iniciativas_pa"), ["partido", "tema", "c1"])
 
 
+def _linkage(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(votes, candidate pairs, links): each vote and each earlier initiative of like text once, in order of time."""
+    i = table(spark, d, "iniciativas_pa").select("registro_id", "descripcion", cal.any_date("fecha_pres").alias("day_i")).where("day_i IS NOT NULL AND descripcion IS NOT NULL")
+    v = table(spark, d, "votaciones").select("votacion_id", F.col("descripcion").alias("texto"), cal.any_date("fecha").alias("day")).where("day IS NOT NULL").distinct()
+    p = cut(candidate_links(v, "votacion_id", "day", "texto", i, "registro_id", "day_i", "descripcion", 0.3))
+    return v, p, link_in_order(p, [], "day", "votacion_id", "registro_id", "similarity")
+
+
 @query()
 def vote_linkage(spark: SparkSession, d: str) -> DataFrame:
     """Votes linked to earlier initiatives of like text, each once, in order of time."""
-    i = table(spark, d, "iniciativas_pa").select("registro_id", "descripcion", cal.any_date("fecha_pres").alias("day_i")).where("day_i IS NOT NULL AND descripcion IS NOT NULL")
-    v = table(spark, d, "votaciones").select("votacion_id", F.col("descripcion").alias("texto"), cal.any_date("fecha").alias("day")).where("day IS NOT NULL").distinct()
-    p = candidate_links(v, "votacion_id", "day", "texto", i, "registro_id", "day_i", "descripcion", 0.3)
-    linked = link_in_order(p, [], "day", "votacion_id", "registro_id", "similarity")
+    _, _, linked = _linkage(spark, d)
     return linked.select(cal.term_start("day").alias("term"), F.col("day").cast("string").alias("day"), "votacion_id", "registro_id", "similarity")
 
 
+@query()
+def vote_review(spark: SparkSession, d: str) -> DataFrame:
+    """Votes whose link should be looked at: of low similarity, with a near tie, ambiguous, or without a link."""
+    v, p, linked = _linkage(spark, d)
+    return review_list(p, cut(linked), v, "votacion_id", "registro_id", "similarity")
+
+
 @query()
 def greedy_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Sessions and votes of a day paired one to one by their places."""
