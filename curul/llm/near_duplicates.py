@@ -105,7 +105,8 @@ def min_max_signature(word_ids: list[np.ndarray], common_ids: np.ndarray, common
             u = (_mix(vocab + np.uint64(0x9E3779B97F4A7C15) * np.uint64(p + 1)) >> np.uint64(11)).astype(np.float64)
             u = (u + 0.5) / 2.0**53
             for race in (-np.log(u) / weight, -np.log1p(-u) / weight):
-                v = np.minimum.reduceat(race[where], starts).view(np.uint64)
+                # bits of positive numbers are in their order, and whole numbers have their least found sooner
+                v = np.minimum.reduceat(race.astype(np.float32).view(np.uint32)[where], starts).astype(np.uint64)
                 if used < 64:
                     sketch |= (_mix(v) & np.uint64(1)) << np.uint64(used)
                 used += 1

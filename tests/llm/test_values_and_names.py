@@ -71,3 +71,35 @@ def test_visual_text(spark):
     assert canonical_text(df.limit(0), "t").count() == 0
     again = canonical_text(canonical_text(df, "t"), "canonical", "twice", "again")
     assert again.where(F.col("again") | ~F.col("twice").eqNullSafe(F.col("canonical"))).count() == 0
+
+
+def test_persons_off_the_roster_are_linked_by_whole_names(spark):
+    people = ["Zulema Ortuño Baltierra", "Zulema Ortuno Baltiera", "ORTUÑO BALTIERRA ZULEMA", "Zulema Ortega Baltazar", "Rita Paz"]
+    rows = [(k, p, "AB") for k, p in enumerate(people)]
+    rec = spark.createDataFrame(rows, "id long, who string, party string")
+    roster = spark.createDataFrame([("Ana Lucía Riplozuy Cigua",)], "name string")
+    parties = spark.createDataFrame([("AB", "Alianza Buena")], "short string, name string")
+    e = {r.spelling: r.entity for r in variant_entities(rec, "id", "who", "party", roster, "name", parties, "short", "name", {}).where("field = 'who'").collect()}
+    assert e[people[0]] == e[people[1]] == e[people[2]] and len({e[people[0]], e[people[3]], e[people[4]]}) == 3
+
+
+def test_large_cells_are_split_and_whole(spark, monkeypatch):
+    import random
+
+    from curul.llm import name_variants
+
+    monkeypatch.setattr(name_variants, "CELL_BLOCK", 7)
+    rng = random.Random(3)
+    ws = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(2, 8))) for _ in range(150)})
+    df = spark.createDataFrame([(w,) for w in ws], "word string")
+    got = {(r.word, r.near) for r in name_variants.radius_join(df, df, pivots=3).collect()}
+    radius = lambda w: 0 if len(w) < 3 else 1 if len(w) < 4 else 2 if len(w) < 9 else 3
+    assert got == {(a, b) for a in ws for b in ws if levenshtein(a, b) <= radius(a)}
+
+
+def test_one_search_gives_all_candidates(spark):
+    v = spark.createDataFrame([(k, "roxo" if k % 3 else "rojo", "roto") for k in range(60)] + [(99, None, "")], "id int, a string, b string")
+    c = Catalog([(1, "rojo"), (2, "roto")])
+    out = {(r.id, r.field): r for r in map_fields(v, "id", {"a": c, "b": c}).collect()}
+    assert len(out) == 122 and {x.ref_id for x in out[1, "a"].candidates} == {1, 2} and out[0, "a"].how == "exact" and out[0, "b"].ref_id == 2
+    assert out[99, "a"].how == out[99, "b"].how == "missing" and out[99, "a"].candidates == []
