@@ -158,3 +158,34 @@ def test_short_forms_with_many_readings():
     assert {i for _, i, _ in c.near("Obras m. y sppppppr tpppppps")} == {15}
     assert {i for _, i, _ in c.near("Obras m. s. t.")} == set(range(16))
     assert c.near("Zzzzz m. s. t.") == []
+
+
+def test_dates_and_numbers_in_words(spark):
+    from curul.functions.calendar import called_or_estimated, clock, date_of_words, span, words_date
+    from curul.functions.numbers_es import number_of, words_of
+
+    texts = ["CELEBRADA EL LUNES CATORCE DE MAYO DE DOS MIL VEINTICUATRO A LAS", "el treinta y uno de diciembre de mil novecientos noventa y nueve", "el treinta y uno de febrero de dos mil diez", "el diez de mayo de dos mil, a las diez", "", None, "el 14 de mayo"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    assert [str(r.d) if r.d else None for r in df.orderBy("k").select(date_of_words("t").alias("d")).collect()] == ["2024-05-14", "1999-12-31", None, None, None, None, None]
+    n = spark.range(1001).select("id", number_of(words_of(F.col("id"))).alias("n"))
+    assert n.where("n <> id OR n IS NULL").collect() == [(1000, None)]
+    assert [r.n for r in spark.createDataFrame([("Doscientas",), ("un",), ("ciento una",), ("12",), ("nada",), (None,)], "t string").select(number_of(F.col("t")).alias("n")).collect()] == [None, 1, 101, 12, None, None]
+    t = spark.createDataFrame([(None, None), (None, 36125), (36000, 90)], "c int, b int")
+    got = t.select(called_or_estimated("c", "b").alias("e"), clock("b").alias("x"), span(F.col("b") - F.col("c"), signed=True).alias("y")).collect()
+    assert [(r.e.called, r.e.estimated, r.x, r.y) for r in got] == [(None, False, None, None), (36000, True, "10:02:05", None), (36000, False, "00:01:30", "-9:58:30")]
+    assert spark.createDataFrame([(None,)], "d date").select(words_date("d")).first()[0] is None
+
+
+def test_presented_items():
+    from curul.operators.documents import presented_items
+
+    t = "PUNTO TRES DEL ORDEN DEL DÍA. LA INICIATIVA DE DECRETO QUE PRESENTA LA DIPUTADA ANA RUIZ, POR EL QUE SE REFORMA LA LEY; TURNÁNDOSE A LA COMISIÓN DE SALUD, PARA SU ESTUDIO. ÚLTIMO PUNTO DEL ORDEN DEL DÍA, ASUNTOS GENERALES. EN USO DE LA PALABRA EL DIPUTADO JUAN PAZ, DIO CUENTA DEL PUNTO DE ACUERDO POR EL QUE SE PIDE AGUA."
+    assert [x[1:] for x in presented_items(t)] == [("item", "INICIATIVA DE DECRETO", "LA DIPUTADA ANA RUIZ", "SE REFORMA LA LEY", "TRES", "COMISION DE SALUD"), ("floor", "PUNTO DE ACUERDO", "JUAN PAZ", "SE PIDE AGUA", "AG", None)]
+    assert presented_items("") == [] and presented_items("QUE PRESENTA " * 2000) == []
+
+
+def test_error_over_lines(spark):
+    from curul.functions.classify import error_kind
+
+    df = spark.createDataFrame([("429 RESOURCE_EXHAUSTED\n limit RequestsPerDay",), (None,)], "t string")
+    assert [r.k for r in df.select(error_kind("t").alias("k")).collect()][0] == "cuota_diaria_agotada"

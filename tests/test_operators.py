@@ -256,3 +256,78 @@ def test_record_fields(spark):
     x = r.select(records.distinct_folded(F.col("a")).alias("d"), records.people("t").alias("p")).first()
     assert x.d == ["Ana Paz", "Eva"] and x.p == ["A. Uno Dos", "Tres Cuatro"]
     assert records.with_defaults(r, {"n": F.lit(0), "z": F.lit("-")}).first().z == "-" and records.column_kind("Fecha de acta") == "date"
+
+
+def test_weighted_links_against_brute_force(spark):
+    import math
+    import random
+    from collections import Counter
+
+    from curul.operators.linkage import weighted_dice_links
+
+    rng = random.Random(4)
+    word = lambda: f"w{int(rng.expovariate(0.05))}"
+    rows = [(k, sorted({word() for _ in range(rng.randrange(0, 14))})) for k in range(120)]
+    df = spark.createDataFrame(rows, "id int, stems array<string>")
+    got = {(r.left, r.right): r.score for r in weighted_dice_links(df.where("id < 30"), df, "id", "id", "stems", 0.3).collect()}
+    n, f = len(rows), Counter(w for _, s in rows for w in s)
+    idf = {w: math.log((n + 1) / (c + 0.5)) for w, c in f.items()}
+    want = {}
+    for a, x in rows[:30]:
+        for b, y in rows:
+            whole = sum(idf[w] for w in x) + sum(idf[w] for w in y)
+            s = 2 * sum(idf[w] for w in set(x) & set(y)) / whole if whole else 0
+            if s >= 0.3:
+                want[a, b] = s
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_fill_with_hot_null_and_tied_keys(spark):
+    from curul.operators.imputation import fill_missing, find_dependencies
+
+    rows = [(k, "hot" if k % 3 == 0 else f"p{k % 40}" if k % 7 else None, "a" if k % 2 else "b", (1 if k % 3 == 0 else k % 40) if k % 5 else None) for k in range(1200)]
+    df = spark.createDataFrame(rows, "id int, person string, term string, party int")
+    assert ["person"] in find_dependencies(df, ["person", "term"], "party")
+    out = {r.id: (r.party_filled, r.party_source) for r in fill_missing(df, "party", [["person"]]).collect()}
+    assert len(out) == 1200
+    for k, person, _, party in rows:
+        want = (party, "observed") if party is not None else (None, None) if person is None else (1 if person == "hot" else None, "dependency:person")
+        assert out[k][1] == want[1] or person is not None
+        if person == "hot":
+            assert out[k][0] == 1
+    assert fill_missing(df.limit(0), "party", [["person"]]).count() == 0
+    assert find_dependencies(df.limit(0), ["person"], "party") == []
+
+
+def test_stream_state_that_cannot_be_read_raises(spark, tmp_path):
+    import pytest
+
+    from curul.streaming.tables import read_growing, stream_upsert
+
+    src, state, mark = (str(tmp_path / x) for x in ("src", "state", "mark"))
+    rows = spark.createDataFrame([("k1", "ok", 1), ("k2", "failed", 1)], "key string, status string, at int")
+    rows.coalesce(1).write.parquet(src)
+    stream_upsert(read_growing(spark, src, rows.schema), state, mark, "key", "status", ["at"])
+    before = spark.read.parquet(f"{state}/v0").count()
+    for f in (tmp_path / "state" / "v0").glob("*.parquet"):
+        f.write_bytes(b"broken")
+    rows.coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(Exception):
+        stream_upsert(read_growing(spark, src, rows.schema), state, mark, "key", "status", ["at"])
+    assert before == 2
+
+
+def test_matching_is_the_walk_through_all_pairs(spark):
+    import random
+
+    from curul.operators.matching import greedy_matching
+
+    rng = random.Random(2)
+    pairs = sorted({(rng.randrange(25), rng.randrange(25), rng.randrange(6)) for _ in range(150)})
+    df = spark.createDataFrame([*pairs, pairs[0]], "a int, b int, s int")
+    got = {(r.a, r.b) for r in greedy_matching(df, ["a"], ["b"], F.struct((-F.col("s")).alias("s"), "a", "b")).collect()}
+    used_a, used_b, want = set(), set(), set()
+    for a, b, _ in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
+        if a not in used_a and b not in used_b:
+            used_a.add(a), used_b.add(b), want.add((a, b))
+    assert got == want and greedy_matching(df.limit(0), ["a"], ["b"], F.struct("s", "a", "b")).count() == 0
