@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curul.plans.state import cut
@@ -33,17 +33,22 @@ def mine_dependencies(records: DataFrame, determinants: list[list[str]], target:
     one pass: a record goes into the counts once per candidate, with 64 bits for the determinant's values, and the
     counts combine on the map side.
     """
-    entry = [F.when(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in d)), F.struct(F.lit(k).alias("c"), F.xxhash64(*d).alias("k"))) for k, d in enumerate(determinants)]
-    long = records.where(F.col(target).isNotNull()).select(F.col(target).alias("value"), F.explode(F.array_compact(F.array(*entry))).alias("e"))
-    counts = long.groupBy("e.c", "e.k", "value").agg(F.count("*").alias("n"))
-    groups = counts.groupBy("c", "k").agg(F.sum("n").alias("total"), F.max("n").alias("most")).where(F.col("total") >= least_support)
-    stats = groups.groupBy("c").agg(F.sum("total").alias("records"), F.count("*").alias("groups"), F.sum("most").alias("agreeing"))
+    stats = _statistics(records, determinants, target, least_support)
     names = records.sparkSession.createDataFrame([(k, "+".join(d)) for k, d in enumerate(determinants)], "c int, determinant string")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
     out = names.join(stats, "c", "left").select("determinant", F.lit(target).alias("target"), zero("records"), zero("groups"), zero("agreeing"), F.expr("try_divide(agreeing, records)").alias("confidence"))
     return out.withColumn("verified", F.coalesce(F.col("confidence") >= least_confidence, F.lit(False)))
 
 
+def _statistics(records: DataFrame, determinants: list[list[str]], target: str, least_support: int) -> DataFrame:
+    """(c, records, groups, agreeing) of the candidates, by place, that have groups."""
+    entry = [F.when(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in d)), F.struct(F.lit(k).alias("c"), F.xxhash64(*d).alias("k"))) for k, d in enumerate(determinants)]
+    long = records.where(F.col(target).isNotNull()).select(F.col(target).alias("value"), F.explode(F.array_compact(F.array(*entry))).alias("e"))
+    counts = long.groupBy("e.c", "e.k", "value").agg(F.count("*").alias("n"))
+    groups = counts.groupBy("c", "k").agg(F.sum("n").alias("total"), F.max("n").alias("most")).where(F.col("total") >= least_support)
+    return groups.groupBy("c").agg(F.sum("total").alias("records"), F.count("*").alias("groups"), F.sum("most").alias("agreeing"))
+
+
 def find_dependencies(records: DataFrame, columns: list[str], target: str, most_columns: int = 2, least_confidence: float = 0.95) -> list[list[str]]:
     """The sets of up to ``most_columns`` of the columns that the complete records bear out as determinants of the target.
 
@@ -51,9 +56,9 @@ def find_dependencies(records: DataFrame, columns: list[str], target: str, most_
     A column that is unique shows no groups and is never verified. One row a candidate comes to the driver.
     """
     sets = [list(d) for k in range(1, most_columns + 1) for d in combinations(columns, k)]
-    rows = [r for r in mine_dependencies(records, sets, target, least_confidence).collect() if r["verified"]]
-    rows.sort(key=lambda r: (-r["confidence"], -r["determinant"].count("+"), -r["records"], r["determinant"]))
-    return [r["determinant"].split("+") for r in rows]
+    rows = [(r["agreeing"] / r["records"], sets[r["c"]], r["records"]) for r in _statistics(records, sets, target, 2).collect()]
+    rows = sorted((-sure, -len(d), -n, d) for sure, d, n in rows if sure >= least_confidence)
+    return [d for *_, d in rows]
 
 
 #: A key in at least this share of the rows to fill is hot; there are at most the reciprocal of it, so their dictionary
@@ -75,27 +80,23 @@ def fill_missing(records: DataFrame, target: str, dependencies: list[list[str]],
     filled_col, source_col = filled_col or f"{target}_filled", source_col or f"{target}_source"
     out = records.withColumns({filled_col: F.col(target), source_col: F.when(F.col(target).isNotNull(), F.lit("observed"))})
     steps = [*(("dependency", d) for d in dependencies), *([("group", group)] if group else [])]
-    for kind, cols in steps:
+    for at, (kind, cols) in enumerate(steps):
         keys = [f"__d{k}" for k in range(len(cols))]
-        out = cut(out)
+        out = cut(out) if at else out
         lacks = F.col(filled_col).isNull()
         for c in cols:
             lacks = lacks & F.col(c).isNotNull()
         need = out.where(lacks)
         t = dictionary(records, cols, target).where("second < n").select(*keys, F.col("value").alias("__value"))
-        counts = need.groupBy(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).agg(F.count("*").alias("__n"))
-        least = max(1, int(need.count() * HOT_SHARE))
-        hot = counts.where(F.col("__n") >= least).select(*keys)
-        hot_entries = cut(t.join(F.broadcast(hot), keys, "left_semi"))
-        label = F.lit(f"{kind}:{'+'.join(cols)}")
-
-        def put(rows: DataFrame, entries: DataFrame, keys: list[str] = keys, cols: list[str] = cols, label: Column = label) -> DataFrame:
-            on = [F.col(c) == F.col(k) for c, k in zip(cols, keys)]
-            return rows.join(entries, on, "left").withColumns({source_col: F.when(F.col("__value").isNotNull(), label), filled_col: F.col("__value")}).drop("__value", *keys)
-
-        is_hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-        marked = need.join(is_hot, [F.col(c) == F.col(k) for c, k in zip(cols, keys)], "left").drop(*keys)
-        by_hot = put(marked.where("__hot").drop("__hot"), F.broadcast(hot_entries))
-        by_join = put(marked.where("__hot IS NULL").drop("__hot"), t)
+        # one row a key that is asked for, how often, and with its entry if there is one
+        asked = need.groupBy(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).agg(F.count("*").alias("__n"))
+        entries = cut(asked.join(t, keys, "left"))
+        total = entries.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+        is_hot = F.col("__n") >= max(1.0, total * HOT_SHARE)
+        hot, rest = F.broadcast(entries.where(is_hot).drop("__n")), entries.where(~is_hot).drop("__n")
+        on = [F.col(c) == F.col(k) for c, k in zip(cols, keys)]
+        known = F.when(F.col("__value").isNotNull(), F.lit(f"{kind}:{'+'.join(cols)}"))
+        put = lambda rows: rows.withColumns({source_col: known, filled_col: F.col("__value")}).drop("__value", *keys)  # noqa: E731, B023
+        by_hot, by_join = put(need.join(hot, on)), put(need.join(hot.select(*keys), on, "left_anti").join(rest, on))
         out = out.where(~lacks).unionByName(by_hot).unionByName(by_join)
     return out

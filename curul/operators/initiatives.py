@@ -54,7 +54,7 @@ def filled(ids: DataFrame) -> DataFrame:
     out = ids
     for target, group in (("partido_id", ["person", "legislatura"]), ("tema_id", ["comision_id"])):
         mined = find_dependencies(ids, [c for c in columns if c != target], target, least_confidence=LEAST_CONFIDENCE)
-        out = fill_missing(out, target, mined, group=None if group in mined else group)
+        out = fill_missing(out if out is ids else cut(out), target, mined, group=None if group in mined else group)
         field = target.removesuffix("_id")
         allowed = (F.col(f"{target}_source") == "observed") | F.col(f"{field}_missing")
         out = out.withColumn(f"{field}_source", F.when(allowed, F.col(f"{target}_source")))
