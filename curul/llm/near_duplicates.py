@@ -8,17 +8,18 @@ edited copies and near zero for records that only share the phrases all records
 Bands of values propose pairs; one bit of each of 64 further uses of the values, carried beside the band keys, turns
 away most pairs that merely met by chance; bit maps of the word sets, which bound the similarity from above, turn away
 nearly all others; the plain Jaccard similarity of the whole word sets decides. Each record is signed once and its
-band keys are shuffled once.
+band keys are shuffled once, a few bands a round, so that the disk holds one round's keys and not all of them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from curul.functions.text import ACCENTED, UNACCENTED
 from curul.operators.components import connected_components
-from curul.plans.state import cut, stored
+from curul.plans.state import cut, discard, shuffles_freed, stored
 
 #: Bands of ROWS values each; BANDS * ROWS values need half as many permutations. With five values to a band the pairs
 #: that unrelated records add are as many as the true ones at some hundred thousand records of the kind measured here;
@@ -45,6 +46,8 @@ MOST_COMMON = 20_000
 SKETCH_AGREE = 42
 #: Records of one bucket that are paired within one row; larger buckets are split into blocks of so many.
 BLOCK = 256
+#: Rows that one round shuffles at most, or a twelfth of all band keys where that is more.
+ROUND_ROWS, MOST_PARTS = 4_000_000, 32
 
 _ASCII_WORD, _WORD, _MARKS = re.compile(r"[a-z0-9]+"), regex.compile(r"[\p{L}\p{Nd}]+"), regex.compile(r"\p{M}+")
 _PLAIN = str.maketrans(ACCENTED, UNACCENTED)
@@ -124,28 +127,66 @@ def _agree(a: str | Column, b: str | Column) -> Column:
     return F.lit(64) - F.bit_count((F.col(a) if isinstance(a, str) else a).bitwiseXOR(F.col(b) if isinstance(b, str) else b))
 
 
-def bucket_pairs(band: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b), a < b, each pair of ids (column ``id``) once that meet under a ``key`` and whose ``sketch`` bits agree.
+def _parts(df: DataFrame, by: str, rows: int, most: int) -> list[DataFrame]:
+    """The rows in parts of about ``most`` of their ``rows``, at most MOST_PARTS as each part reads them all; those of one
+    value are in one part."""
+    k = min(MOST_PARTS, -(-rows // most))
+    return [df] if k < 2 else [df.where(F.pmod(F.xxhash64(by), F.lit(k)) == g) for g in range(k)]
+
+
+def _union(dfs: Sequence[DataFrame]) -> DataFrame:
+    out = dfs[0]
+    for df in dfs[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _may_reach(threshold: float) -> Column:
+    """Whether word sets of n1 and n2 words with maps (p1, q1) and (p2, q2) can be as similar as that: bits of one map that
+    the other lacks are words it lacks, so the common words are at most the rest."""
+    lacks = lambda x, y: F.bit_count(F.col(f"p{x}").bitwiseAND(F.bitwise_not(f"p{y}"))) + F.bit_count(F.col(f"q{x}").bitwiseAND(F.bitwise_not(f"q{y}")))
+    most = F.least(F.col("n1") - lacks(1, 2), F.col("n2") - lacks(2, 1))
+    return most >= threshold * (F.col("n1") + F.col("n2") - most)
+
+
+def bucket_pairs(bands: DataFrame | Sequence[DataFrame], block: int = BLOCK, maps: DataFrame | None = None, threshold: float = 0.0, most: int = ROUND_ROWS) -> DataFrame:
+    """(a, b), a < b, each pair of ids (column ``id``) once that meet under a ``key`` and whose ``sketch`` bits agree; with
+    ``maps`` (id, n, p, q: number of words and bit map), only those whose similarity may reach the threshold.
 
     One shuffle brings the ids of a key together. A bucket of up to ``block`` ids is paired as its rows pass by; the rows
     of a larger one are split into blocks, and each block is joined with the later rows, so no task has a whole hot
-    bucket's pairs and none are dropped.
+    bucket's pairs and none are dropped. Tables of bands (no key in two of them) are taken one after the other, and
+    what comes of them in parts of about ``most`` rows: each is a job whose result is stored.
     """
     own = Window.partitionBy("key").orderBy("id")
-    b = band.withColumns({"at": F.row_number().over(own) - 1, "n": F.count("*").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}).where("n > 1")
-    b = b.withColumn("before", F.when(F.col("n") <= block, F.collect_list(F.struct("id", "sketch")).over(own.rowsBetween(-block, -1))))
-    met = F.filter("before", lambda o: _agree(o["sketch"], "sketch") >= SKETCH_AGREE)
-    nobody = F.lit(None).cast(band.schema["id"].dataType)
-    b = b.withColumn("other", F.explode(F.when(F.col("n") <= block, F.transform(met, lambda o: o["id"])).otherwise(F.array(nobody))))
-    # pairs of small buckets, and the rows of large ones
-    hot = F.col("other").isNull()
-    b = stored(b.select(F.col("other").alias("a"), "id", F.when(hot, F.col("key")).alias("key"), F.when(hot, F.col("sketch")).alias("sketch"), F.when(hot, F.floor(F.col("at") / block)).alias("block")))
-    small = b.where("a IS NOT NULL").select("a", F.col("id").alias("b"))
-    large = b.where("a IS NULL")
-    left = large.select("key", "block", F.col("id").alias("a"), F.col("sketch").alias("s"))
-    right = large.select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), "block")).alias("block"), F.col("id").alias("b"), "sketch")
-    split = left.join(right, ["key", "block"]).where("a < b").where(_agree("s", "sketch") >= SKETCH_AGREE).select("a", "b")
-    return small.unionByName(split).distinct()
+
+    def meet(band: DataFrame) -> DataFrame:
+        b = band.withColumns({"at": F.row_number().over(own) - 1, "n": F.count("*").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}).where("n > 1")
+        b = b.withColumn("before", F.when(F.col("n") <= block, F.collect_list(F.struct("id", "sketch")).over(own.rowsBetween(-block, -1))))
+        met = F.filter("before", lambda o: _agree(o["sketch"], "sketch") >= SKETCH_AGREE)
+        nobody = F.lit(None).cast(band.schema["id"].dataType)
+        b = b.withColumn("other", F.explode(F.when(F.col("n") <= block, F.transform(met, lambda o: o["id"])).otherwise(F.array(nobody))))
+        # pairs of small buckets, and the rows of large ones
+        hot = F.col("other").isNull()
+        return stored(b.select(F.col("other").alias("a"), "id", F.when(hot, F.col("key")).alias("key"), F.when(hot, F.col("sketch")).alias("sketch"), F.when(hot, F.floor(F.col("at") / block)).alias("block")))
+
+    side = lambda c, k: maps.select(F.col("id").alias(c), F.col("n").alias(f"n{k}"), F.col("p").alias(f"p{k}"), F.col("q").alias(f"q{k}"))
+    b = _union([meet(x) for x in ([bands] if isinstance(bands, DataFrame) else bands)])
+    n_large, n_joined, n_small = b.agg(F.count("key"), F.coalesce(F.sum(F.col("block") + 1), F.lit(0)), F.count("a")).first()
+    found = []
+    if n_large:
+        large = b.where("a IS NULL").select("id", "key", "sketch", "block")
+        if maps is not None:
+            large = stored(large.join(side("id", 1), "id"))
+        for part in _parts(large, "key", n_joined, most):
+            left = part.withColumnsRenamed({"id": "a", "sketch": "s"})
+            right = part.withColumnsRenamed({"id": "b", "n1": "n2", "p1": "p2", "q1": "q2"}).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), "block")))
+            split = left.join(right, ["key", "block"]).where("a < b").where(_agree("s", "sketch") >= SKETCH_AGREE)
+            found.append(stored((split if maps is None else split.where(_may_reach(threshold))).select("a", "b").distinct()))
+    for part in _parts(b.where("a IS NOT NULL").select("a", F.col("id").alias("b")), "a", n_small, most):
+        small = part.distinct()
+        found.append(stored(small if maps is None else small.join(side("a", 1), "a").join(side("b", 2), "b").where(_may_reach(threshold)).select("a", "b")))
+    return _union(found).distinct()
 
 
 def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: float, least_words: int = 8, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -155,6 +196,11 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
     links: (rep_a, rep_b, similarity) with rep_a < rep_b and Jaccard similarity of the word sets >= threshold.
     Null texts and texts under ``least_words`` distinct words take no part. Ids must be unique and sortable.
     """
+    with shuffles_freed(records.sparkSession):
+        return _similar_texts(records, id_col, text_col, threshold, least_words, bands, rows)
+
+
+def _similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: float, least_words: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     spark = records.sparkSession
     id_type = records.schema[id_col].dataType.simpleString()
 
@@ -173,7 +219,8 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
     texts = records.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL AND id IS NOT NULL")
     sets = stored(texts.mapInPandas(split, f"id {id_type}, k1 bigint, k2 bigint, m1 bigint, m2 bigint, words string"))
     reps = stored(sets.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.min("m1").alias("m1"), F.min("m2").alias("m2"), F.min("words").alias("words")).withColumn("size", F.size(F.split("words", " "))))
-    members = sets.select("id", "k1", "k2").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "rep")
+    members = stored(sets.select("id", "k1", "k2").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "rep"))
+    discard(sets)
 
     n, occurrences = reps.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     word = reps.select(F.explode(F.split("words", " ")).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
@@ -184,38 +231,41 @@ def similar_texts(records: DataFrame, id_col: str, text_col: str, threshold: flo
     weights = np.clip(-np.log(common["df"].to_numpy(np.float64) / (n + PRIOR_RECORDS)), LEAST_WEIGHT, rare)
     shared = spark.sparkContext.broadcast((common["id"].to_numpy(np.uint64), weights))
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # 32 bits of a key are enough beside the sketch; each round reads its own column
+    most = max(ROUND_ROWS, n * bands // 12)
+    rounds = np.array_split(np.arange(bands), min(bands, max(1, -(-n * bands // most))))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, weight = shared.value
         for b in batches:
             if len(b):
-                keys, sketch = min_max_signature([np.fromiter(map(word_id, s.split(" ")), np.uint64) for s in b["words"]], ids, weight, rare, bands, rows)
-                yield pd.DataFrame({"id": b["id"], "keys": list(keys.view(np.int64)), "sketch": sketch.view(np.int64)})
-
-    signed = reps.select(F.col("rep").alias("id"), "words").mapInPandas(sign, f"id {id_type}, keys array<bigint>, sketch bigint")
-    near = bucket_pairs(signed.select("id", "sketch", F.explode("keys").alias("key")))
-
-    # bits of one map that the other lacks are words it lacks: the common words are at most the rest
-    side = lambda c, k: reps.select(F.col("rep").alias(c), F.col("size").alias(f"n{k}"), F.col("m1").alias(f"p{k}"), F.col("m2").alias(f"q{k}"))
-    lacks = lambda x, y: F.bit_count(F.col(f"p{x}").bitwiseAND(F.bitwise_not(f"p{y}"))) + F.bit_count(F.col(f"q{x}").bitwiseAND(F.bitwise_not(f"q{y}")))
-    most = F.least(F.col("n1") - lacks(1, 2), F.col("n2") - lacks(2, 1))
-    near = near.join(side("a", 1), "a").join(side("b", 2), "b").where(most >= threshold * (F.col("n1") + F.col("n2") - most)).select("a", "b")
-    near = cut(near)
-
-    common_words = F.size(F.array_intersect("x", "y"))
+                keys, sketch = min_max_signature([np.fromiter(map(word_id, s.split(" ")), np.uint64) for s in b["words"].to_pylist()], ids, weight, rare, bands, rows)
+                short = keys.astype(np.uint32).view(np.int32)
+                lists = [pa.ListArray.from_arrays(np.arange(len(b) + 1, dtype=np.int32) * len(r), np.ascontiguousarray(short[:, r]).ravel()) for r in rounds]
+                yield pa.RecordBatch.from_arrays([b["id"], pa.array(sketch.view(np.int64)), *lists], ["id", "sketch", *(f"r{k}" for k in range(len(rounds)))])
+
+    signed = stored(reps.select(F.col("rep").alias("id"), "words").mapInArrow(sign, f"id {id_type}, sketch bigint, " + ", ".join(f"r{k} array<int>" for k in range(len(rounds)))))
+    of_round = lambda k, r: signed.select("id", "sketch", F.posexplode(f"r{k}").alias("band", "key")).select("id", "sketch", ((F.col("band") + int(r[0])).cast("bigint") * (1 << 32) + F.col("key")).alias("key"))
+    maps = reps.select(F.col("rep").alias("id"), F.col("size").alias("n"), F.col("m1").alias("p"), F.col("m2").alias("q"))
+    near = cut(bucket_pairs([of_round(k, r) for k, r in enumerate(rounds)], BLOCK, maps, threshold, most))
+    discard(signed)
+
+    x, y = F.split("x", " "), F.split("y", " ")
+    common_words = F.size(F.array_intersect(x, y))
     links = (
-        near.join(reps.select(F.col("rep").alias("a"), F.split("words", " ").alias("x")), "a")
-        .join(reps.select(F.col("rep").alias("b"), F.split("words", " ").alias("y")), "b")
-        .withColumn("similarity", common_words / (F.size("x") + F.size("y") - common_words))
+        near.join(reps.select(F.col("rep").alias("a"), F.col("words").alias("x")), "a")
+        .join(reps.select(F.col("rep").alias("b"), F.col("words").alias("y")), "b")
+        .select("a", "b", common_words.alias("common"), (F.size(x) + F.size(y)).alias("both"))
+        .withColumn("similarity", F.col("common") / (F.col("both") - F.col("common")))
         .where(F.col("similarity") >= threshold)
         .select(F.col("a").alias("rep_a"), F.col("b").alias("rep_b"), "similarity")
     )
-    return members, links
+    return members, cut(links)
 
 
 def near_duplicate_pairs(records: DataFrame, id_col: str, text_col: str, threshold: float, least_words: int = 8) -> DataFrame:
     """(id_a, id_b, similarity) of every pair of records at or above the threshold, copies included."""
     members, links = similar_texts(records, id_col, text_col, threshold, least_words)
-    members, links = cut(members), cut(links)
     a = members.select(F.col("rep").alias("rep_a"), F.col("id").alias("x"))
     b = members.select(F.col("rep").alias("rep_b"), F.col("id").alias("y"))
     across = links.join(a, "rep_a").join(b, "rep_b").select("x", "y", "similarity")
@@ -228,7 +278,6 @@ def near_duplicate_classes(records: DataFrame, id_col: str, text_col: str, thres
     texts or identity of word sets; links counts the different similar texts. Records that take no part (null, few
     words) are their own class with 0 links. Copies are not expanded into pairs."""
     members, links = similar_texts(records, id_col, text_col, threshold, least_words)
-    links = cut(links)
     comp = connected_components(links, "rep_a", "rep_b").select(F.col("node").alias("rep"), "component")
     degree = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     known = members.join(comp, "rep", "left").join(degree, "rep", "left").select("id", F.coalesce("component", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))

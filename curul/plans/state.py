@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +40,26 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Removes the files of a ``stored`` table that nothing reads any more."""
+    spark = table.sparkSession
+    for name in {re.search(r"/(table-[0-9a-f]{32})/", f)[1] for f in table.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, a job's shuffle files go as soon as it has ended, not when the driver happens to collect its garbage.
+
+    For steps that each end in ``stored``, ``cut`` or rows for the driver; a table that is run twice would shuffle twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)

@@ -1,12 +1,17 @@
 import itertools
 import random
+import time
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from curul.functions.text import words
+from curul.llm import near_duplicates
 from curul.llm.near_duplicates import bucket_pairs, min_max_signature, near_duplicate_classes, near_duplicate_pairs, word_set
+from curul.plans.state import shared_folder
 
 
 def make(rng, n=120):
@@ -110,3 +115,23 @@ def test_recall_on_random_edits(spark):
     got = {(r.id_a, r.id_b) for r in near_duplicate_pairs(df, "id", "text", 0.65).collect()}
     print("recall from 0.65", len(got & true) / len(true), "of", len(true), "from 0.7", len(got & clear) / len(clear), "of", len(clear))
     assert len(got & true) >= 0.997 * len(true) and len(got & clear) >= 0.999 * len(clear)
+
+
+def test_disk_holds_one_round(spark, monkeypatch):
+    """Bands in many rounds give the same pairs; shuffle files and tables that were read to the end are gone afterwards."""
+    texts = make(random.Random(8), 60)
+    texts += [f"{' '.join(texts[0].split()[:-1])} z{k}" for k in range(40)]  # more than a block of one bucket
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    monkeypatch.setattr(near_duplicates, "ROUND_ROWS", 2_500, raising=False)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    files = lambda: {f.getPath() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    tables = lambda: set(Path(urlparse(shared_folder(spark)).path).glob("table-*"))
+    shuffles, stored = files(), tables()
+    pairs = near_duplicate_pairs(df, "id", "text", 0.65)
+    until = time.time() + 10
+    while (left := files() - shuffles) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    columns = [set(spark.read.parquet(str(t)).columns) for t in tables() - stored]
+    assert columns and not [c for c in columns if "r0" in c or {"id", "words"} <= c]
+    assert {(r.id_a, r.id_b) for r in pairs.collect()} == brute(spark, df, 0.65, 8)
